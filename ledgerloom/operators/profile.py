@@ -155,7 +155,7 @@ def describe(
         # The value at a rank (from 0) is the smallest one with more rows up to it.
         for end, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             edges.append(F.min(F.when(F.col("__upto") > rank, F.col("value"))).alias(f"__{end}{i}"))
-        edges.append(F.first(at - F.floor(at)).alias(f"__t{i}"))
+        edges.append(F.max(at - F.floor(at)).alias(f"__t{i}"))
     found = stage(ranked.groupBy(*keys).agg(*edges))
     wide = attach(totals.df, found, keys, null_safe=True)
     between = [
