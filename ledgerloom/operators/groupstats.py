@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .keyed import Sized, attach, grouped, stage
+from .keyed import Sized, attach, combine_sets, grouped, stage_sets
 
 AGGREGATES = {
     "count": F.count,
@@ -218,6 +218,22 @@ def most_frequent(df: DataFrame, keys: Sequence[str], value: str, counted: str =
     return df.groupBy(*keys).agg(F.sum(counted).alias("n"), top.getField(value).alias("mode"))
 
 
+def _modes(df: DataFrame, sets: Sequence[Sequence[str]]) -> dict[tuple[str, ...], Sized]:
+    """Most frequent last member of each key set per the members before it.
+
+    Counts and modes of all sets come from one plan: count per (key, value), then the maximum per
+    key, stored once.
+    """
+    counts, ids = combine_sets(df, sets, [F.count(F.lit(1)).alias("n")])
+    keys = list(dict.fromkeys(c for s in sets for c in s[:-1]))
+    kinds = {df.schema[s[-1]].dataType.simpleString() for s in sets}
+    kind = kinds.pop() if len(kinds) == 1 else "double"
+    value = F.coalesce(*[F.when(F.col("__set") == ids[tuple(s)], F.col(s[-1]).cast(kind)) for s in sets])
+    per_set = counts.withColumn("__value", value)
+    modes = most_frequent(per_set, ["__set", *keys], "__value")
+    return stage_sets(modes, ids, ["n", "mode"], keys=lambda s: s[:-1])
+
+
 def mode_distance(
     df: DataFrame,
     keys: Sequence[str],
@@ -230,15 +246,14 @@ def mode_distance(
 
     Named like ``mean_distance``; a row with a missing key gets null.
     """
-    sets = {(k, p, x): [split_col, k, p, x] for k in keys for p, x, _ in positions}
-    counts = grouped(df, list(sets.values()), [])
+    sets = {(k, p, x): (split_col, k, p, x) for k in keys for p, x, _ in positions}
+    found = _modes(df, list(sets.values()))
     out, extra = df, []
     for k in keys:
         for period, position, suffix in positions:
             on = [split_col, k, period]
             name = f"__mode_{k}_{period}_{position}"
-            table = stage(most_frequent(counts[(split_col, k, period, position)].df, on, position))
-            ready = _ready(table, on, {"mode": name})
+            ready = _ready(found[sets[(k, period, position)]], on, {"mode": name})
             out = attach(out, ready, on, [name], weight="__n", id_col=id_col)
             extra.append((F.col(position) - F.col(name)).alias(f"{k}_{period}{suffix}"))
     return out.select(*df.columns, *extra)

@@ -16,7 +16,7 @@ lives here once:
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -188,56 +188,73 @@ def running_total(
     return full.withColumn(out, F.col("__base") + F.col("__run")).drop("__base", "__run", "__slice")
 
 
-def grouped(
+def combine_sets(
     df: DataFrame, key_sets: Sequence[Sequence[str]], aggs: Sequence[Column], *, keep_nulls: bool = False
-) -> dict[tuple[str, ...], Sized]:
-    """One staged table per key set, all of them from one scan and one shuffle.
+) -> tuple[DataFrame, dict[tuple[str, ...], int]]:
+    """Aggregates for several key sets in one table, the set numbered in ``__set``.
 
     The sets are grouping sets of one aggregate, so the fact table is read once however many keys
-    are asked for, and rows are combined before they are moved.  Each table carries ``n``, the
-    number of rows of its key.  Without ``keep_nulls`` keys with a null member are left out.
+    are asked for, and rows are combined before they are moved.  Without ``keep_nulls`` keys with
+    a null member are left out.
     """
-    sets = [tuple(s) for s in dict.fromkeys(tuple(s) for s in key_sets)]
+    sets = list(dict.fromkeys(tuple(s) for s in key_sets))
     cols = list(dict.fromkeys(c for s in sets for c in s))
-    measures = [F.count(F.lit(1)).alias("n"), *aggs]
-    if len(sets) == 1:
-        table = df.groupBy(*cols).agg(*measures)
-        if not keep_nulls:
-            table = table.dropna(subset=cols)
-        return {sets[0]: stage(table)}
-
-    spark = df.sparkSession
     # grouping_id has one bit per column, set where the column is not part of the set.
-    ids = {
-        s: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in s) for s in sets
-    }
-    table = df.groupingSets([list(s) for s in sets], *cols).agg(F.grouping_id().alias("__set"), *measures)
+    ids = {s: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in s) for s in sets}
+    number = F.grouping_id().alias("__set")
+    table = df.groupingSets([list(s) for s in sets], *cols).agg(number, *aggs)
     if not keep_nulls:
         whole = [
-            (F.col("__set") == ids[s])
-            & reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in s])
+            reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in s], F.col("__set") == ids[s])
             for s in sets
         ]
         table = table.filter(reduce(lambda a, b: a | b, whole))
+    return table, ids
+
+
+def stage_sets(
+    table: DataFrame,
+    ids: Mapping[tuple[str, ...], int],
+    values: Sequence[str],
+    keys: Callable[[tuple[str, ...]], Sequence[str]] = tuple,
+) -> dict[tuple[str, ...], Sized]:
+    """Store the table of several key sets once and hand out one sized table per set.
+
+    ``keys`` gives the columns that identify a row of a set, when they are not all its members.
+    """
+    spark = table.sparkSession
     path = stage_path(spark)
     seen = Observation()
-    per_set = [
-        m
-        for s in sets
-        for m in (
-            F.count_if(F.col("__set") == ids[s]).alias(f"rows_{ids[s]}"),
-            F.sum(F.when(F.col("__set") == ids[s], _width(table.schema))).alias(f"bytes_{ids[s]}"),
-        )
-    ]
-    table.observe(seen, *per_set).write.partitionBy("__set").parquet(path)
+    metrics = []
+    for number in ids.values():
+        here = F.col("__set") == number
+        metrics.append(F.count_if(here).alias(f"rows_{number}"))
+        metrics.append(F.sum(F.when(here, _width(table.schema))).alias(f"bytes_{number}"))
+    table.observe(seen, *metrics).write.partitionBy("__set").parquet(path)
     got = seen.get
-    names = [c for c in table.columns if c not in cols and c != "__set"]
     back = spark.read.schema(table.schema).parquet(path)
     return {
         s: Sized(
-            back.filter(F.col("__set") == ids[s]).select(*[f"`{c}`" for c in s], *names),
-            int(got.get(f"rows_{ids[s]}") or 0),
-            int(got.get(f"bytes_{ids[s]}") or 0),
+            back.filter(F.col("__set") == number).select(*[f"`{c}`" for c in keys(s)], *values),
+            int(got.get(f"rows_{number}") or 0),
+            int(got.get(f"bytes_{number}") or 0),
         )
-        for s in sets
+        for s, number in ids.items()
     }
+
+
+def grouped(
+    df: DataFrame, key_sets: Sequence[Sequence[str]], aggs: Sequence[Column], *, keep_nulls: bool = False
+) -> dict[tuple[str, ...], Sized]:
+    """One staged table per key set, all from one scan and one shuffle of the fact table.
+
+    Each table carries its keys, the aggregates and ``n``, the number of rows of the key.
+    """
+    measures = [F.count(F.lit(1)).alias("n"), *aggs]
+    sets = list(dict.fromkeys(tuple(s) for s in key_sets))
+    if len(sets) == 1:
+        table = df.groupBy(*sets[0]).agg(*measures)
+        return {sets[0]: stage(table if keep_nulls else table.dropna(subset=list(sets[0])))}
+    table, ids = combine_sets(df, sets, measures, keep_nulls=keep_nulls)
+    keys = {c for s in sets for c in s}
+    return stage_sets(table, ids, [c for c in table.columns if c not in keys and c != "__set"])

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .keyed import attach, running_total, stage
+from .keyed import attach, stage
+from .ranks import values_at_ranks
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -122,8 +123,8 @@ def describe(
 ) -> DataFrame:
     """count, mean, std, min, quantiles, max of numeric columns, one row per column (and group).
 
-    Exact quantiles are interpolated between ranks taken from a distributed running count of the
-    distinct values.  ``exact=False`` uses the approximate sketch in the same single pass.
+    Exact quantiles are interpolated between the values at neighbouring ranks.  ``exact=False``
+    takes them from an approximate sketch in the same single pass.
     """
     cols = list(cols or numeric_columns(df))
     by = list(by)
@@ -144,23 +145,13 @@ def describe(
         picked = [F.get("__q", F.lit(i)).alias(n) for i, n in enumerate(names)]
         return table.select("*", *picked).select(*order)
 
-    totals = stage(long.groupBy(*keys).agg(*stats))
-    present = long.filter(F.col("value").isNotNull())
-    counts = stage(present.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")))
-    upto = running_total(counts, keys, ["value"], "n", "__upto")
-    ranked = attach(upto, totals.select(*keys, F.col("count").alias("__rows")), keys, ["__rows"], null_safe=True)
-    edges = []
-    for i, p in enumerate(probs):
-        at = (F.col("__rows") - 1) * F.lit(p)
-        # The value at a rank (from 0) is the smallest one with more rows up to it.
-        for end, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            edges.append(F.min(F.when(F.col("__upto") > rank, F.col("value"))).alias(f"__{end}{i}"))
-        edges.append(F.max(at - F.floor(at)).alias(f"__t{i}"))
-    found = stage(ranked.groupBy(*keys).agg(*edges))
-    wide = attach(totals.df, found, keys, null_safe=True)
+    at = [(F.col("__rows") - 1) * F.lit(p) for p in probs]
+    ranks = {f"__lo{i}": F.floor(x) for i, x in enumerate(at)} | {f"__hi{i}": F.ceil(x) for i, x in enumerate(at)}
+    found = stage(values_at_ranks(long, keys, "value", ranks, probs))
+    wide = attach(long.groupBy(*keys).agg(*stats), found, keys, null_safe=True)
     between = [
-        (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__t{i}")).alias(n)
-        for i, n in enumerate(names)
+        (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * (x - F.floor(x))).alias(n)
+        for i, (n, x) in enumerate(zip(names, at))
     ]
     return wide.select("*", *between).select(*order)
 

@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .keyed import attach, running_total, stage
+from .keyed import attach, stage
+from .ranks import values_at_ranks
 
 
 def keep_columns(df: DataFrame, wanted: Sequence[str], always: Sequence[str] = ()) -> DataFrame:
@@ -42,20 +43,22 @@ def last_period_split(df: DataFrame, period: str) -> tuple[DataFrame, DataFrame]
 def row_cutoff(df: DataFrame, order: Sequence[str], k: int) -> list | None:
     """Order values of the ``k``-th row (from 1), or null when there are fewer rows.
 
-    Found one order column after the other from running counts of distinct values, so no sort of
-    the table and no long list of rows in one task.
+    Found one order column after the other from ranks, so the table is not sorted and no long
+    list of rows meets in one task.
     """
+    total = df.count()
+    if k > total:
+        return None
     fixed: list = []
     for i, c in enumerate(order):
         prefix = [F.col(o) == F.lit(v) for o, v in zip(order[:i], fixed)]
         rows = df.filter(reduce(lambda a, b: a & b, prefix)) if prefix else df
-        counts = stage(rows.groupBy(c).agg(F.count(F.lit(1)).alias("n")))
-        upto = running_total(counts, [], [c], "n", "upto")
-        hit = upto.filter(F.col("upto") >= k).orderBy(c).limit(1).first()
-        if hit is None:
-            return None
-        fixed.append(hit[c])
-        k -= hit["upto"] - hit["n"]
+        found = values_at_ranks(rows, [], c, {"at": F.lit(k - 1)}, [(k - 1) / max(1, total - 1)])
+        value = found.first()["at"]
+        fixed.append(value)
+        if i + 1 < len(order):
+            counts = rows.agg(F.count_if(F.col(c) < F.lit(value)), F.count_if(F.col(c) == F.lit(value))).first()
+            k, total = k - counts[0], counts[1]
     return fixed
 
 
