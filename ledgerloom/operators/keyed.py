@@ -18,7 +18,6 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -40,19 +39,18 @@ class Sized:
         return Sized(self.df.select(*cols), self.rows, self.bytes)
 
 
-def _width(schema: T.StructType) -> Column:
-    """Approximate bytes of one row in a hash table."""
-    fixed = 16 + 8 * len(schema)
+def row_width(schema: T.StructType) -> str:
+    """Approximate bytes of one row in a hash table, as an expression."""
     text = [
-        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        f"coalesce(octet_length(`{f.name}`), 0)"
         for f in schema
         if isinstance(f.dataType, (T.StringType, T.BinaryType))
     ]
-    return reduce(lambda a, b: a + b, text, F.lit(fixed)).cast("long")
+    return " + ".join([f"{16 + 8 * len(schema)}L", *text])
 
 
 def _metrics(df: DataFrame) -> list[Column]:
-    return [F.count(F.lit(1)).alias("rows"), F.sum(_width(df.schema)).alias("bytes")]
+    return [F.expr("count(1) as rows"), F.expr(f"sum({row_width(df.schema)}) as bytes")]
 
 
 def measure(df: DataFrame) -> Sized:
@@ -77,11 +75,8 @@ def fits_broadcast(table: Sized) -> bool:
 
 
 def _same(pairs: Sequence[tuple[str, str]], null_safe: bool) -> Column:
-    tests = [
-        F.col(f"`{a}`").eqNullSafe(F.col(b)) if null_safe else F.col(f"`{a}`") == F.col(b)
-        for a, b in pairs
-    ]
-    return reduce(lambda a, b: a & b, tests)
+    op = "<=>" if null_safe else "="
+    return F.expr(" and ".join(f"`{a}` {op} `{b}`" for a, b in pairs))
 
 
 def attach(
@@ -108,11 +103,11 @@ def attach(
     if clash:
         raise ValueError(f"columns already present: {sorted(clash)}")
     pairs = [(left, f"__key{i}") for i, left in enumerate(on)]
-    keys = [F.col(f"`{right}`").alias(f"__key{i}") for i, right in enumerate(on.values())]
+    keys = [f"`{right}` as __key{i}" for i, right in enumerate(on.values())]
     key_names = [k for _, k in pairs]
 
     if fits_broadcast(table):
-        right = table.df.select(*keys, *values)
+        right = table.df.selectExpr(*keys, *[f"`{v}`" for v in values])
         return df.join(F.broadcast(right), _same(pairs, null_safe), "left").drop(*key_names)
 
     if id_col is not None:
@@ -125,39 +120,38 @@ def attach(
 def _split_join(df, table, on, pairs, keys, values, null_safe, weight):
     top = setting(df.sparkSession, "hotKeys")
     key_names = [k for _, k in pairs]
-    held = [F.col(f"`{v}`").alias(f"__hot{i}") for i, v in enumerate(values)]
+    held = [f"`{v}` as __hot{i}" for i, v in enumerate(values)]
     held_names = [f"__hot{i}" for i in range(len(values))]
     if weight is not None:
         heaviest = table.df.orderBy(F.desc(weight), *[f"`{c}`" for c in on.values()]).limit(top)
-        hot = heaviest.select(*keys, *held, F.lit(True).alias("__is_hot"))
+        hot = heaviest.selectExpr(*keys, *held, "true as __is_hot")
     else:
         counts = df.groupBy(*[F.col(f"`{left}`").alias(k) for left, k in pairs]).count()
         heavy = stage(counts.orderBy(F.desc("count"), *key_names).limit(top).drop("count")).df
-        right = table.df.select(*[k.alias(f"__t{i}") for i, k in enumerate(keys)], *held)
+        right = table.df.selectExpr(*[f"`{c}` as __t{i}" for i, c in enumerate(on.values())], *held)
         test = _same([(k, f"__t{i}") for i, k in enumerate(key_names)], null_safe)
         known = right.join(F.broadcast(heavy), test, "inner").select(*key_names, *held_names)
-        hot = heavy.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(key_names)])
+        listed = heavy.selectExpr(*[f"{k} as __h{i}" for i, k in enumerate(key_names)])
         test = _same([(f"__h{i}", k) for i, k in enumerate(key_names)], True)
-        hot = hot.join(F.broadcast(known), test, "left").select(
-            *[F.col(f"__h{i}").alias(k) for i, k in enumerate(key_names)],
-            *held_names,
-            F.lit(True).alias("__is_hot"),
+        hot = listed.join(F.broadcast(known), test, "left").selectExpr(
+            *[f"__h{i} as {k}" for i, k in enumerate(key_names)], *held_names, "true as __is_hot"
         )
 
     # At most `top` rows, whatever the size of the data.
     marked = df.join(F.broadcast(hot), _same(pairs, null_safe), "left").drop(*key_names)
-    spread = F.col("__is_hot").isNotNull()
+    spread = ["__is_hot is not null"]
     if not null_safe:
-        nulls = [F.col(f"`{left}`").isNull() for left, _ in pairs]
-        spread = reduce(lambda a, b: a | b, nulls, spread)
+        spread += [f"`{left}` is null" for left, _ in pairs]
     # The slot is the map task's number: the same when a lost task is run again, unlike rand().
-    marked = marked.withColumn("__slot", F.when(spread, F.spark_partition_id() + 1).otherwise(0))
-    cold = table.df.select(*keys, *[F.col(f"`{v}`").alias(f"__cold{i}") for i, v in enumerate(values)])
+    slot = f"if({' or '.join(spread)}, spark_partition_id() + 1, 0)"
+    marked = marked.withColumn("__slot", F.expr(slot))
     # Always 0, but not a literal: a literal would be folded and the slot would leave the join key.
-    cold = cold.withColumn("__at", F.pmod(F.hash(*key_names), F.lit(1)))
-    joined = marked.join(cold, _same(pairs, null_safe) & (F.col("__slot") == F.col("__at")), "left")
-    out = [F.coalesce(f"__hot{i}", f"__cold{i}").alias(v) for i, v in enumerate(values)]
-    return joined.select(*[f"`{c}`" for c in df.columns], *out)
+    always = f"pmod(hash({', '.join(key_names)}), 1) as __at"
+    cold = table.df.selectExpr(*keys, *[f"`{v}` as __cold{i}" for i, v in enumerate(values)])
+    cold = cold.selectExpr("*", always)
+    joined = marked.join(cold, _same([*pairs, ("__slot", "__at")], null_safe), "left")
+    out = [f"coalesce(__hot{i}, __cold{i}) as `{v}`" for i, v in enumerate(values)]
+    return joined.selectExpr(*[f"`{c}`" for c in df.columns], *out)
 
 
 def running_total(
@@ -204,11 +198,8 @@ def combine_sets(
     number = F.grouping_id().alias("__set")
     table = df.groupingSets([list(s) for s in sets], *cols).agg(number, *aggs)
     if not keep_nulls:
-        whole = [
-            reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in s], F.col("__set") == ids[s])
-            for s in sets
-        ]
-        table = table.filter(reduce(lambda a, b: a | b, whole))
+        whole = [" and ".join([f"__set = {ids[s]}", *[f"`{c}` is not null" for c in s]]) for s in sets]
+        table = table.filter(" or ".join(f"({w})" for w in whole))
     return table, ids
 
 
@@ -225,17 +216,18 @@ def stage_sets(
     spark = table.sparkSession
     path = stage_path(spark)
     seen = Observation()
-    metrics = []
-    for number in ids.values():
-        here = F.col("__set") == number
-        metrics.append(F.count_if(here).alias(f"rows_{number}"))
-        metrics.append(F.sum(F.when(here, _width(table.schema))).alias(f"bytes_{number}"))
+    width = row_width(table.schema)
+    metrics = [
+        F.expr(m)
+        for number in ids.values()
+        for m in (f"count_if(__set = {number}) as rows_{number}", f"sum(if(__set = {number}, {width}, 0)) as bytes_{number}")
+    ]
     table.observe(seen, *metrics).write.partitionBy("__set").parquet(path)
     got = seen.get
     back = spark.read.schema(table.schema).parquet(path)
     return {
         s: Sized(
-            back.filter(F.col("__set") == number).select(*[f"`{c}`" for c in keys(s)], *values),
+            back.filter(f"__set = {number}").select(*[f"`{c}`" for c in keys(s)], *values),
             int(got.get(f"rows_{number}") or 0),
             int(got.get(f"bytes_{number}") or 0),
         )

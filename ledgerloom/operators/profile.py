@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..session import setting
 from .keyed import attach, stage
 from .ranks import values_at_ranks
 
@@ -113,6 +115,12 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
     )
 
 
+# Columns described in one aggregate, and how many tasks' worth of numbers the built-in percentile
+# may gather.
+_DESCRIBED_TOGETHER = 20
+_PERCENTILE_TASKS = 4
+
+
 def describe(
     df: DataFrame,
     cols: Sequence[str] | None = None,
@@ -123,32 +131,41 @@ def describe(
 ) -> DataFrame:
     """count, mean, std, min, quantiles, max of numeric columns, one row per column (and group).
 
-    Exact quantiles are interpolated between the values at neighbouring ranks.  ``exact=False``
-    takes them from an approximate sketch in the same single pass.
+    Exact quantiles come from the built-in percentile while all numbers fit one task, and beyond
+    that from the values at neighbouring ranks.  ``exact=False`` takes them from a sketch.
     """
-    cols = list(cols or numeric_columns(df))
-    by = list(by)
+    cols, by = list(cols or numeric_columns(df)), list(by)
     names = [f"p{round(p * 100)}" for p in probs]
-    long = _long(df, by, cols, "double")
-    keys = [*by, "column"]
-    stats = [
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    ]
-    order = [*keys, "count", "mean", "std", "min", *names, "max"]
+    order = [*by, "column", "count", "mean", "std", "min", *names, "max"]
+    levels = "array(" + ", ".join(f"{float(p)}D" for p in probs) + ")"
     if not exact:
-        sketch = F.percentile_approx("value", list(probs), 10_000)
-        table = long.groupBy(*keys).agg(*stats, sketch.alias("__q"))
-        picked = [F.get("__q", F.lit(i)).alias(n) for i, n in enumerate(names)]
-        return table.select("*", *picked).select(*order)
+        quantiles = f"percentile_approx({{x}}, {levels}, 10000) as q"
+    else:
+        rows = df.count()
+        numbers = rows * min(len(cols), _DESCRIBED_TOGETHER)
+        fits = numbers <= _PERCENTILE_TASKS * setting(df.sparkSession, "rowsPerTask")
+        quantiles = f"percentile({{x}}, {levels}) as q" if fits else None
+    stats = "count({x}) as count, avg({x}) as mean, stddev_samp({x}) as std, min({x}) as min, max({x}) as max"
+    if quantiles:
+        stats = f"{stats}, {quantiles}"
+
+    parts = []
+    for start in range(0, len(cols), _DESCRIBED_TOGETHER):
+        some = cols[start : start + _DESCRIBED_TOGETHER]
+        filled = {c: stats.format(x=f"cast(`{c}` as double)") for c in some}
+        wide = df.groupBy(*by).agg(*[F.expr(f"struct('{c}' as column, {e}) as `{c}`") for c, e in filled.items()])
+        entries = F.explode(F.array(*[F.col(f"`{c}`") for c in some])).alias("__e")
+        parts.append(wide.select(*by, entries).select(*by, "__e.*"))
+    table = reduce(DataFrame.unionByName, parts)
+    if quantiles:
+        return table.select("*", *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(names)]).select(*order)
 
+    keys = [*by, "column"]
     at = [(F.col("__rows") - 1) * F.lit(p) for p in probs]
     ranks = {f"__lo{i}": F.floor(x) for i, x in enumerate(at)} | {f"__hi{i}": F.ceil(x) for i, x in enumerate(at)}
-    found = stage(values_at_ranks(long, keys, "value", ranks, probs))
-    wide = attach(long.groupBy(*keys).agg(*stats), found, keys, null_safe=True)
+    long = _long(df, by, cols, "double")
+    found = stage(values_at_ranks(long, keys, "value", ranks, probs, rows * len(cols)))
+    wide = attach(table, found, keys, null_safe=True)
     between = [
         (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * (x - F.floor(x))).alias(n)
         for i, (n, x) in enumerate(zip(names, at))
@@ -202,10 +219,16 @@ def time_series(df: DataFrame, period: str, measure: str) -> DataFrame:
     )
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Correlation over rows with both values; null, not an error, where one of them is constant."""
+    both_x, both_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(both_x) * F.stddev_pop(both_y))
+
+
 def target_correlations(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
     """Correlation of the label with each column, missing values as 0."""
     y = F.col(label).cast("double")
-    wide = df.agg(*[F.corr(y, F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(c) for c in cols])
+    wide = df.agg(*[pearson(y, F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(c) for c in cols])
     return wide.unpivot([], list(cols), "column", "corr")
 
 
@@ -215,7 +238,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     if len(cols) <= PAIRWISE_COLUMNS:
         pairs = list(combinations_with_replacement(range(len(cols)), 2))
         x = [F.col(c).cast("double") for c in cols]
-        wide = df.agg(*[F.corr(x[i], x[j]).alias(f"{i}_{j}") for i, j in pairs])
+        wide = df.agg(*[pearson(x[i], x[j]).alias(f"{i}_{j}") for i, j in pairs])
         long = wide.unpivot([], [f"{i}_{j}" for i, j in pairs], "pair", "corr")
         name = F.create_map(*[F.lit(v) for i, c in enumerate(cols) for v in (str(i), c)])
         ends = F.split("pair", "_")
@@ -223,15 +246,23 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     return _correlation_blocks(df, cols)
 
 
+# A variance below this share of the raw second moment is rounding, not spread.
+_NO_SPREAD = 1e-13
+
+
 def _correlation_blocks(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pair sums per Arrow batch of rows as matrix products, then added up per pair.
 
     Columns are first centred on their means (one row on the driver) to keep the sums accurate.
     """
     p = len(cols)
-    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
+    ends = df.agg(
+        *[f(F.col(c).cast("double")).alias(f"{n}_{i}") for i, c in enumerate(cols) for n, f in (("avg", F.avg), ("min", F.min), ("max", F.max))]
+    ).first()
+    # A constant column is shifted by its value, so that it is exactly zero.
+    shift = [ends[f"min_{i}"] if ends[f"min_{i}"] == ends[f"max_{i}"] else ends[f"avg_{i}"] for i in range(p)]
     centred = df.select(
-        *[(F.col(c).cast("double") - F.lit(float(means[c] or 0.0))).alias(f"x{i}") for i, c in enumerate(cols)]
+        *[(F.col(c).cast("double") - F.lit(float(shift[i] or 0.0))).alias(f"x{i}") for i, c in enumerate(cols)]
     )
     upper_i, upper_j = np.triu_indices(p)
     sums = ("n", "sx", "sy", "sxx", "syy", "sxy")
@@ -251,11 +282,13 @@ def _correlation_blocks(df: DataFrame, cols: list[str]) -> DataFrame:
         yield pa.RecordBatch.from_arrays(parts, names=["i", "j", *sums])
 
     pair = centred.mapInArrow(partial, schema).groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in sums])
-    n = F.col("n")
-    cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
-    var_x = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n)
-    var_y = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n)
-    corr = F.when(n > 1, F.try_divide(cov, F.sqrt(var_x) * F.sqrt(var_y)))
+
+    def variance(total: str, squares: str) -> Column:
+        v = F.col(squares) - F.try_divide(F.col(total) * F.col(total), F.col("n"))
+        return F.when(v > F.col(squares) * _NO_SPREAD, v)
+
+    cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
+    corr = cov / (F.sqrt(variance("sx", "sxx")) * F.sqrt(variance("sy", "syy")))
     name = F.create_map(*[F.lit(v) for i, c in enumerate(cols) for v in (i, c)])
     return pair.select(name[F.col("i")].alias("col_a"), name[F.col("j")].alias("col_b"), corr.alias("corr"))
 

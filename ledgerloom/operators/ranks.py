@@ -26,16 +26,21 @@ _NARROW_FROM_TASKS = 16
 
 
 def values_at_ranks(
-    df: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, Column], near: Sequence[float]
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    ranks: Mapping[str, Column],
+    near: Sequence[float],
+    rows: int,
 ) -> DataFrame:
     """Per group: ``__rows`` and the value at each rank (from 0, nulls not counted).
 
     A rank is an expression over ``__rows``; ``near`` holds the fractions of the group the ranks
-    lie close to.
+    lie close to; ``rows`` is about how many rows there are.
     """
     keys = list(keys)
     present = df.filter(F.col(value).isNotNull()).select(*keys, value)
-    if present.count() > _NARROW_FROM_TASKS * setting(df.sparkSession, "rowsPerTask"):
+    if rows > _NARROW_FROM_TASKS * setting(df.sparkSession, "rowsPerTask"):
         found = stage(_pick(present, keys, value, ranks, near)).df
         missed = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in ranks])
         if found.filter(missed).isEmpty():

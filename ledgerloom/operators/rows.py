@@ -53,7 +53,7 @@ def row_cutoff(df: DataFrame, order: Sequence[str], k: int) -> list | None:
     for i, c in enumerate(order):
         prefix = [F.col(o) == F.lit(v) for o, v in zip(order[:i], fixed)]
         rows = df.filter(reduce(lambda a, b: a & b, prefix)) if prefix else df
-        found = values_at_ranks(rows, [], c, {"at": F.lit(k - 1)}, [(k - 1) / max(1, total - 1)])
+        found = values_at_ranks(rows, [], c, {"at": F.lit(k - 1)}, [(k - 1) / max(1, total - 1)], total)
         value = found.first()["at"]
         fixed.append(value)
         if i + 1 < len(order):
