@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import evaluate, modeling
@@ -116,9 +117,15 @@ def _folded(spark, d, k=3):
     return evaluate.group_folds(train, "DT_M", k=k)
 
 
-@named("asm_vector")
+@named(
+    "asm_vector",
+    f"WITH {roles.TRANSACTIONS} SELECT txn_id, "
+    + ", ".join(f"coalesce(CAST({c} AS DOUBLE), -10000) AS f_{c}" for c in FEATURES)
+    + " FROM txn",
+)
 def asm_vector(spark, d):
-    return _matrix(spark, d).select("txn_id", F.col("features").cast("string").alias("features"))
+    entries = vector_to_array("features")
+    return _matrix(spark, d).select("txn_id", *[entries[i].alias(f"f_{c}") for i, c in enumerate(FEATURES)])
 
 
 @named("ml_train_gbt")
