@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .keyed import Sized, attach, combine_sets, grouped, stage_sets
+from .keyed import Sized, attach_all, combine_sets, grouped, lookup, stage_sets
 
 AGGREGATES = {
     "count": F.count,
@@ -46,11 +46,11 @@ def uid_stats(
 ) -> DataFrame:
     """Statistics of each measure per key over all rows, as ``<key>_<measure>_<agg>``."""
     found = grouped(df, [[k] for k in keys], _stat_columns(measures, aggs))
-    out = df
+    lookups = []
     for k in keys:
         names = {_stat(m, a): f"{k}_{m}_{a}" for m in measures for a in aggs}
-        out = attach(out, _ready(found[(k,)], [k], names), [k], list(names.values()), weight="__n", id_col=id_col)
-    return out
+        lookups.append(lookup(_ready(found[(k,)], [k], names), [k], list(names.values()), weight="__n"))
+    return attach_all(df, lookups, id_col=id_col)
 
 
 def uid_std_norm(
@@ -69,11 +69,8 @@ def uid_std_norm(
 def period_totals(df: DataFrame, periods: Sequence[str]) -> DataFrame:
     """Rows in the period of each row, as ``<period>_total``."""
     found = grouped(df, [[p] for p in periods], [])
-    out = df
-    for p in periods:
-        ready = found[(p,)].select(p, F.col("n").alias(f"{p}_total"))
-        out = attach(out, ready, [p], weight=f"{p}_total", values=[f"{p}_total"])
-    return out
+    totals = {p: found[(p,)].select(p, F.col("n").alias(f"{p}_total")) for p in periods}
+    return attach_all(df, [lookup(t, [p], [f"{p}_total"], weight=f"{p}_total") for p, t in totals.items()])
 
 
 def timeblock_frequency(
@@ -96,19 +93,20 @@ def timeblock_frequency(
     share = with_proportions or only_proportions
     sets = [list(pair) for pair in pairs] + ([[p] for p in periods] if share else [])
     found = grouped(df, sets, [], keep_nulls=True)
-    out, extra = df, []
+    lookups, extra = [], []
     if share:
         for p in periods:
             total = found[(p,)].select(p, F.col("n").alias(f"__total_{p}"))
-            out = attach(out, total, [p], [f"__total_{p}"], null_safe=True, weight=f"__total_{p}")
+            lookups.append(lookup(total, [p], [f"__total_{p}"], null_safe=True, weight=f"__total_{p}"))
     for c, p in pairs:
         name, n = f"{c}_{p}", f"__count_{c}_{p}"
         ready = found[(c, p)].select(c, p, F.col("n").alias(n))
-        out = attach(out, ready, [c, p], [n], null_safe=True, weight=n, id_col=id_col)
+        lookups.append(lookup(ready, [c, p], [n], null_safe=True, weight=n))
         proportion = F.try_divide(F.col(n), F.col(f"__total_{p}")) if share else None
         extra.append((proportion if only_proportions else F.col(n)).alias(name))
         if with_proportions:
             extra.append(proportion.alias(f"{name}_proportions"))
+    out = attach_all(df, lookups, id_col=id_col)
     return out.select(*df.columns, *extra)
 
 
@@ -128,11 +126,11 @@ def period_scaling(
     needs = {"min_max": ("min", "max"), "std_score": ("mean", "std")}
     aggs = [a for k in kinds for a in needs[k]]
     found = grouped(df, [[split_col, p] for p in periods], _stat_columns(measures, aggs))
-    out, extra = df, []
+    lookups, extra = [], []
     for p in periods:
         names = {_stat(m, a): f"{_stat(m, a)}__{p}" for m in measures for a in aggs}
         ready = _ready(found[(split_col, p)], [split_col, p], names)
-        out = attach(out, ready, [split_col, p], list(names.values()), weight="__n")
+        lookups.append(lookup(ready, [split_col, p], list(names.values()), weight="__n"))
         for m in measures:
             at = {a: F.col(names[_stat(m, a)]) for a in aggs}
             x = F.col(m)
@@ -141,7 +139,7 @@ def period_scaling(
                 extra.append(scaled.cast("double").alias(f"{m}_{p}_min_max"))
             if "std_score" in kinds:
                 extra.append(F.try_divide(x - at["mean"], at["std"]).alias(f"{m}_{p}_std_score"))
-    return out.select(*df.columns, *extra)
+    return attach_all(df, lookups).select(*df.columns, *extra)
 
 
 def ratio_to_group(
@@ -156,17 +154,17 @@ def ratio_to_group(
     keys = list(dict.fromkeys(k for _, k in pairs))
     measures = list(dict.fromkeys(m for m, _ in pairs))
     found = grouped(df, [[split_col, k] for k in keys], _stat_columns(measures, aggs))
-    out, extra = df, []
+    lookups, extra = [], []
     for k in keys:
         wanted = [m for m, key in dict.fromkeys(pairs) if key == k]
         names = {_stat(m, a): f"{_stat(m, a)}__{k}" for m in wanted for a in aggs}
         ready = _ready(found[(split_col, k)], [split_col, k], names)
-        out = attach(out, ready, [split_col, k], list(names.values()), weight="__n", id_col=id_col)
+        lookups.append(lookup(ready, [split_col, k], list(names.values()), weight="__n"))
         for m in wanted:
             for a in aggs:
                 ratio = F.try_divide(F.col(m), F.col(names[_stat(m, a)]))
                 extra.append(ratio.alias(f"{m}_to_{a}_{k}"))
-    return out.select(*df.columns, *extra)
+    return attach_all(df, lookups, id_col=id_col).select(*df.columns, *extra)
 
 
 def conditional_ratio(
@@ -174,10 +172,11 @@ def conditional_ratio(
 ) -> DataFrame:
     """Rows sharing the ``part`` key over rows sharing the ``whole`` key; null if a member is."""
     found = grouped(df, [part, whole], [])
-    wide = df
+    lookups = []
     for keys, name in ((part, "__part"), (whole, "__whole")):
         ready = found[tuple(keys)].select(*keys, F.col("n").alias(name))
-        wide = attach(wide, ready, list(keys), [name], weight=name, id_col=id_col)
+        lookups.append(lookup(ready, list(keys), [name], weight=name))
+    wide = attach_all(df, lookups, id_col=id_col)
     return wide.select(*df.columns, F.try_divide("__part", "__whole").alias(out))
 
 
@@ -197,15 +196,15 @@ def mean_distance(
     sets = {(k, p): [split_col, k, p] for k in keys for p, _, _ in positions}
     measures = list(dict.fromkeys(x for _, x, _ in positions))
     found = grouped(df, list(sets.values()), _stat_columns(measures, ["mean"]), keep_nulls=True)
-    out, extra = df, []
+    lookups, extra = [], []
     for k in keys:
         for period, position, suffix in positions:
             on = sets[(k, period)]
             name = f"__mean_{k}_{period}_{position}"
             ready = _ready(found[tuple(on)], on, {_stat(position, "mean"): name})
-            out = attach(out, ready, on, [name], null_safe=True, weight="__n", id_col=id_col)
+            lookups.append(lookup(ready, on, [name], null_safe=True, weight="__n"))
             extra.append((F.col(position) - F.col(name)).alias(f"{k}_{period}{suffix}"))
-    return out.select(*df.columns, *extra)
+    return attach_all(df, lookups, id_col=id_col).select(*df.columns, *extra)
 
 
 def most_frequent(df: DataFrame, keys: Sequence[str], value: str, counted: str = "n") -> DataFrame:
@@ -248,15 +247,15 @@ def mode_distance(
     """
     sets = {(k, p, x): (split_col, k, p, x) for k in keys for p, x, _ in positions}
     found = _modes(df, list(sets.values()))
-    out, extra = df, []
+    lookups, extra = [], []
     for k in keys:
         for period, position, suffix in positions:
             on = [split_col, k, period]
             name = f"__mode_{k}_{period}_{position}"
             ready = _ready(found[sets[(k, period, position)]], on, {"mode": name})
-            out = attach(out, ready, on, [name], weight="__n", id_col=id_col)
+            lookups.append(lookup(ready, on, [name], weight="__n"))
             extra.append((F.col(position) - F.col(name)).alias(f"{k}_{period}{suffix}"))
-    return out.select(*df.columns, *extra)
+    return attach_all(df, lookups, id_col=id_col).select(*df.columns, *extra)
 
 
 def scale_by_train_max(df: DataFrame, cols: Sequence[str], *, split_col: str = "split") -> DataFrame:

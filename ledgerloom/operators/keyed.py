@@ -79,47 +79,97 @@ def _same(pairs: Sequence[tuple[str, str]], null_safe: bool) -> Column:
     return F.expr(" and ".join(f"`{a}` {op} `{b}`" for a, b in pairs))
 
 
-def attach(
-    df: DataFrame,
+@dataclass(frozen=True)
+class Lookup:
+    """A one-row-per-key table to join.
+
+    ``on`` maps columns of the facts to key columns of the table.  ``weight`` is a column of the
+    table with the number of rows per key; without it the heavy keys are counted in the facts.
+    """
+
+    table: Sized
+    on: Mapping[str, str]
+    values: Sequence[str]
+    null_safe: bool = False
+    weight: str | None = None
+
+    @property
+    def pairs(self) -> list[tuple[str, str]]:
+        return [(left, f"__key{i}") for i, left in enumerate(self.on)]
+
+    @property
+    def key_names(self) -> list[str]:
+        return [k for _, k in self.pairs]
+
+    @property
+    def keys(self) -> list[str]:
+        return [f"`{c}` as __key{i}" for i, c in enumerate(self.on.values())]
+
+
+def lookup(
     table: Sized,
     on: Sequence[str] | Mapping[str, str],
     values: Sequence[str] | None = None,
     *,
     null_safe: bool = False,
     weight: str | None = None,
-    id_col: str | None = None,
-) -> DataFrame:
-    """Left join a one-row-per-key table, safe against hot keys and null keys.
-
-    ``on`` names the key columns (or maps a column of ``df`` to one of ``table``).  ``weight`` is
-    a column of ``table`` with the number of rows per key; without it the heavy keys are counted
-    in ``df``.  With ``id_col`` (unique in ``df``) a shuffled join moves only the id and the keys,
-    not the whole wide row.
-    """
+) -> Lookup:
     on = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
     if values is None:
         values = [c for c in table.df.columns if c not in on.values() and c != weight]
-    clash = set(values) & set(df.columns)
-    if clash:
-        raise ValueError(f"columns already present: {sorted(clash)}")
-    pairs = [(left, f"__key{i}") for i, left in enumerate(on)]
-    keys = [f"`{right}` as __key{i}" for i, right in enumerate(on.values())]
-    key_names = [k for _, k in pairs]
+    return Lookup(table, on, list(values), null_safe, weight)
+
 
-    if fits_broadcast(table):
-        right = table.df.selectExpr(*keys, *[f"`{v}`" for v in values])
-        return df.join(F.broadcast(right), _same(pairs, null_safe), "left").drop(*key_names)
+def attach(
+    df: DataFrame,
+    table: Sized,
+    on: Sequence[str] | Mapping[str, str],
+    values: Sequence[str] | None = None,
+    *,
+    null_safe: bool = False,
+    weight: str | None = None,
+    id_col: str | None = None,
+) -> DataFrame:
+    """Left join one keyed table, safe against hot keys and null keys (see ``attach_all``)."""
+    return attach_all(df, [lookup(table, on, values, null_safe=null_safe, weight=weight)], id_col=id_col)
 
-    if id_col is not None:
-        slim = df.select(id_col, *[c for c in on if c != id_col])
-        found = attach(slim, table, on, values, null_safe=null_safe, weight=weight)
-        return df.join(found.select(id_col, *values), id_col, "left")
-    return _split_join(df, table, on, pairs, keys, list(values), null_safe, weight)
 
+def attach_all(df: DataFrame, lookups: Sequence[Lookup], *, id_col: str | None = None) -> DataFrame:
+    """Left join any number of keyed tables.
 
-def _split_join(df, table, on, pairs, keys, values, null_safe, weight):
+    With ``id_col`` (unique in ``df``) the tables too large to broadcast are joined to the id and
+    the keys alone, each on its own, and the results meet the wide rows by id, so that those are
+    exchanged once and not once per key.
+    """
+    taken = set(df.columns)
+    for item in lookups:
+        clash = taken & set(item.values)
+        if clash:
+            raise ValueError(f"columns already present: {sorted(clash)}")
+        taken |= set(item.values)
+    large = [item for item in lookups if not fits_broadcast(item.table)]
+    out = df
+    if large and id_col is not None:
+        keys = list(dict.fromkeys(c for item in large for c in item.on if c != id_col))
+        slim = stage(df.select(id_col, *keys)).df
+        for item in large:
+            found = _split_join(slim.select(id_col, *[c for c in item.on if c != id_col]), item)
+            out = out.join(found.select(id_col, *item.values), id_col, "left")
+    else:
+        for item in large:
+            out = _split_join(out, item)
+    for item in lookups:
+        if item not in large:
+            right = item.table.df.selectExpr(*item.keys, *[f"`{v}`" for v in item.values])
+            out = out.join(F.broadcast(right), _same(item.pairs, item.null_safe), "left").drop(*item.key_names)
+    return out.select(*df.columns, *[v for item in lookups for v in item.values])
+
+
+def _split_join(df: DataFrame, item: Lookup) -> DataFrame:
+    """Broadcast the heaviest keys, shuffle the rest; rows of the former are spread evenly."""
+    table, on, values, null_safe, weight = item.table, item.on, item.values, item.null_safe, item.weight
+    pairs, keys, key_names = item.pairs, item.keys, item.key_names
     top = setting(df.sparkSession, "hotKeys")
-    key_names = [k for _, k in pairs]
     held = [f"`{v}` as __hot{i}" for i, v in enumerate(values)]
     held_names = [f"__hot{i}" for i in range(len(values))]
     if weight is not None:

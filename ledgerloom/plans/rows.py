@@ -47,7 +47,8 @@ def filter_non_null(spark, d):
     "filter_rows_head_tail",
     f"""WITH {roles.ORDERS}, n AS (SELECT txn_id, ts, row_number() OVER (ORDER BY ts, txn_id) AS up,
   row_number() OVER (ORDER BY ts DESC, txn_id DESC) AS down FROM txn)
-  SELECT txn_id, CASE WHEN up <= 9000 THEN 'head' ELSE 'tail' END AS part FROM n WHERE up <= 9000 OR down <= 2000""",
+  SELECT txn_id, 'head' AS part FROM n WHERE up <= 9000
+  UNION ALL SELECT txn_id, 'tail' FROM n WHERE down <= 2000""",
 )
 def filter_rows_head_tail(spark, d):
     o = roles.orders(spark, d).select("txn_id", F.unix_micros("ts").alias("at"))

@@ -5,7 +5,16 @@ import pytest
 from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.keyed import attach, fits_broadcast, grouped, measure, running_total, stage
+from ledgerloom.operators.keyed import (
+    attach,
+    attach_all,
+    fits_broadcast,
+    grouped,
+    lookup,
+    measure,
+    running_total,
+    stage,
+)
 
 
 @pytest.fixture
@@ -59,6 +68,22 @@ def test_a_small_table_leaves_the_facts_where_they_are(facts):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_wide_rows_move_once_for_many_large_tables(facts, no_broadcast, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", -1)
+    _, df = facts
+    keys = [f"k{i}" for i in range(6)]
+    wide = stage(df.withColumns({k: F.concat("k", F.col("id") % (i + 3)) for i, k in enumerate(keys)})).df
+    tables = grouped(wide, [[k] for k in keys], [])
+    lookups = [lookup(tables[(k,)].select(k, F.col("n").alias(f"n_{k}")), [k], [f"n_{k}"], weight=f"n_{k}") for k in keys]
+    out = attach_all(wide, lookups, id_col="id")
+    plan = plan_of(out)
+    assert plan.count("SortMergeJoin") == 2 * len(keys)  # one by key, one by id, for each table
+    wide_exchanges = [p for p in plan.split("Exchange hashpartitioning(id")[1:] if "x#" in p.split("Exchange")[0]]
+    assert len(wide_exchanges) == 1
+    other = attach_all(wide, lookups)
+    assert rows_of(out) == rows_of(other)
+
+
 def test_attach_refuses_a_column_it_would_overwrite(facts):
     _, df = facts
     table = grouped(df, [["k"]], [F.avg("x").alias("x")])[("k",)]
