@@ -26,11 +26,13 @@ def named(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def r(c: Column | str, digits: int = 6) -> Column:
-    """Rounded for comparison."""
+    """Rounded half up for comparison, in plain double arithmetic."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double"), digits)
+    scale = float(10**digits)
+    return F.floor(c.cast("double") * scale + 0.5) / scale
 
 
 def R(expression: str, digits: int = 6) -> str:
     """The same rounding in SQL, without a negative zero."""
-    return f"(round(CAST({expression} AS DOUBLE), {digits}) + 0.0)"
+    scale = f"{10**digits}.0::DOUBLE"
+    return f"(floor(CAST({expression} AS DOUBLE) * {scale} + 0.5) / {scale} + 0.0)"
