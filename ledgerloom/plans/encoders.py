@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import concat_key
-from ..operators import encode, groupstats
+from ..operators import encode
+from ..operators.keyed import attach_all, grouped, lookup
 from . import roles
 from .registry import R, named, r
 
@@ -135,16 +136,32 @@ def fn_cross_label(spark, d):
   FROM txn t JOIN u ON t.card1 = u.card1 JOIN p ON t.card1 = p.card1 AND t.split = p.split""",
 )
 def flagship(spark, d):
+    # The count, the statistics over all rows and the mean per split come from one scan.
     t = roles.orders(spark, d).select("txn_id", "split", "card1", "amount")
-    out = encode.fit_counts(t, ["card1"]).apply(t, suffix="_fq_enc")
-    out = groupstats.uid_stats(out, ["card1"], ["amount"])
-    out = groupstats.ratio_to_group(out, [("amount", "card1")], ["mean"])
+    both, each = ["card1"], ["split", "card1"]
+    found = grouped(t, [both, each], [F.avg("amount").alias("mean"), F.stddev_samp("amount").alias("std")])
+    overall = found[tuple(both)].select(
+        "card1",
+        F.col("n").alias("card1_fq_enc"),
+        F.col("mean").alias("card1_amount_mean"),
+        F.col("std").alias("card1_amount_std"),
+    )
+    per_split = found[tuple(each)].select(*each, F.col("n").alias("__n"), F.col("mean").alias("split_mean"))
+    names = ["card1_fq_enc", "card1_amount_mean", "card1_amount_std"]
+    out = attach_all(
+        t,
+        [
+            lookup(overall, both, names, weight="card1_fq_enc"),
+            lookup(per_split, each, ["split_mean"], weight="__n"),
+        ],
+        id_col="txn_id",
+    )
     return out.select(
         "txn_id",
         "card1_fq_enc",
         r("card1_amount_mean").alias("card1_amount_mean"),
         r("card1_amount_std", 4).alias("card1_amount_std"),
-        r("amount_to_mean_card1", 8).alias("amount_to_mean_card1"),
+        r(F.try_divide("amount", "split_mean"), 8).alias("amount_to_mean_card1"),
     )
 
 
