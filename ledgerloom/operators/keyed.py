@@ -120,6 +120,19 @@ def lookup(
     return Lookup(table, on, list(values), null_safe, weight)
 
 
+def _broadcast_together(lookups: Sequence[Lookup]) -> set[int]:
+    """Positions of the tables to broadcast: the smallest ones, while their sum stays in bounds."""
+    chosen: set[int] = set()
+    if lookups:
+        left = setting(lookups[0].table.df.sparkSession, "broadcastTotalBytes")
+        for i in sorted(range(len(lookups)), key=lambda i: lookups[i].table.bytes):
+            left -= lookups[i].table.bytes
+            if left < 0 or not fits_broadcast(lookups[i].table):
+                break
+            chosen.add(i)
+    return chosen
+
+
 def attach(
     df: DataFrame,
     table: Sized,
@@ -147,7 +160,8 @@ def attach_all(df: DataFrame, lookups: Sequence[Lookup], *, id_col: str | None =
         if clash:
             raise ValueError(f"columns already present: {sorted(clash)}")
         taken |= set(item.values)
-    large = [item for item in lookups if not fits_broadcast(item.table)]
+    small = _broadcast_together(lookups)
+    large = [item for i, item in enumerate(lookups) if i not in small]
     out = df
     if large and id_col is not None:
         keys = list(dict.fromkeys(c for item in large for c in item.on if c != id_col))
@@ -158,8 +172,8 @@ def attach_all(df: DataFrame, lookups: Sequence[Lookup], *, id_col: str | None =
     else:
         for item in large:
             out = _split_join(out, item)
-    for item in lookups:
-        if item not in large:
+    for i, item in enumerate(lookups):
+        if i in small:
             right = item.table.df.selectExpr(*item.keys, *[f"`{v}`" for v in item.values])
             out = out.join(F.broadcast(right), _same(item.pairs, item.null_safe), "left").drop(*item.key_names)
     return out.select(*df.columns, *[v for item in lookups for v in item.values])

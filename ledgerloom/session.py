@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 _DEFAULTS = {
     # A table is broadcast only when its measured width stays under this.
     "spark.ledgerloom.broadcastBytes": 32 * 1024 * 1024,
+    # All tables one call broadcasts together stay under this.
+    "spark.ledgerloom.broadcastTotalBytes": 128 * 1024 * 1024,
     # An ordered running total gives each task about this many rows.
     "spark.ledgerloom.rowsPerTask": 1_000_000,
     # How many of the heaviest keys are joined by broadcast when the rest is shuffled.

@@ -5,6 +5,7 @@ import pytest
 from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
+from ledgerloom import session
 from ledgerloom.operators.keyed import (
     attach,
     attach_all,
@@ -60,6 +61,23 @@ def test_hot_keys_leave_the_shuffled_key(facts, no_broadcast, setting):
     assert "__slot" in marked and "__at" in marked  # the slot is part of the join key
 
 
+def test_hot_and_missing_keys_are_spread(spark, no_broadcast, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", -1)
+    setting("spark.sql.adaptive.enabled", "false")
+    i = F.col("id")
+    key = F.when(i % 3 == 0, "hot").when(i % 3 == 2, F.concat(F.lit("k"), i % 5000))
+    df = stage(spark.range(0, 30_000, 1, 40).select("id", key.alias("k"))).df.repartition(40, "id")
+    table = grouped(df, [["k"]], [F.max("id").alias("top")])[("k",)]
+
+    def largest(joined):
+        return joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+    ours = attach(df, table, ["k"], ["top"], weight="n")
+    plain = df.join(table.df.select("k", "top"), "k", "left")
+    assert ours.count() == 30_000 and ours.filter("k is not null and top is null").isEmpty()
+    assert largest(plain) > 10_000 and largest(ours) < 8_000  # of 30,000 rows in 8 partitions
+
+
 def test_a_small_table_leaves_the_facts_where_they_are(facts):
     _, df = facts
     table = grouped(df, [["k"]], [F.avg("x").alias("m")])[("k",)]
@@ -84,6 +102,20 @@ def test_wide_rows_move_once_for_many_large_tables(facts, no_broadcast, setting)
     assert rows_of(out) == rows_of(other)
 
 
+def test_broadcasts_of_one_call_are_bounded_together(facts, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", -1)
+    _, df = facts
+    tables = grouped(df, [["k"], ["x"], ["id"]], [])
+    lookups = [lookup(t.select(*k, F.col("n").alias(f"n_{k[0]}")), k, [f"n_{k[0]}"], null_safe=True, weight=f"n_{k[0]}") for k, t in tables.items()]
+    free = attach_all(df, lookups)
+    assert "SortMergeJoin" not in plan_of(free)
+    by_size = sorted(t.bytes for t in tables.values())
+    setting("spark.ledgerloom.broadcastTotalBytes", by_size[0] + by_size[1])
+    bounded = attach_all(df, lookups)
+    assert plan_of(bounded).count("SortMergeJoin") == 1
+    assert rows_of(free) == rows_of(bounded)
+
+
 def test_attach_refuses_a_column_it_would_overwrite(facts):
     _, df = facts
     table = grouped(df, [["k"]], [F.avg("x").alias("x")])[("k",)]
@@ -138,3 +170,27 @@ def test_staged_types_and_nulls_survive(spark):
     assert sorted(stage(df).df.collect(), key=str) == sorted(df.collect(), key=str)
     empty = stage(df.limit(0))
     assert empty.rows == 0 and empty.df.count() == 0
+
+
+def test_shared_folder_is_never_a_machine_s_own_on_a_cluster(spark, tmp_path):
+    class Conf:
+        def get(self, name):
+            return None
+
+    class Context:
+        master, applicationId, folder = "yarn", "app", None
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return self.folder
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.shared_folder(Session())
+    Session.sparkContext.folder = "hdfs://shared"
+    assert session.stage_path(Session()).startswith("hdfs://shared/ledgerloom/app/")
+    assert session.stage_path(spark).startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
