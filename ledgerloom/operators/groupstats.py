@@ -1,7 +1,7 @@
 """Statistics of a key, of a period, or of a key within a period, given back to every row.
 
 All of them aggregate first and join the small result back, so that a hot key never becomes one
-window in one task.  All measures and all keys of a call share a single scan and shuffle.
+window in one task.  All measures of a call, and up to ten keys, share a scan and a shuffle.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .keyed import Sized, attach_all, combine_sets, grouped, lookup, stage_sets
+from .keyed import Sized, attach_all, combine_sets, grouped, lookup, passes, stage_sets
 
 AGGREGATES = {
     "count": F.count,
@@ -217,20 +217,22 @@ def most_frequent(df: DataFrame, keys: Sequence[str], value: str, counted: str =
     return df.groupBy(*keys).agg(F.sum(counted).alias("n"), top.getField(value).alias("mode"))
 
 
-def _modes(df: DataFrame, sets: Sequence[Sequence[str]]) -> dict[tuple[str, ...], Sized]:
+def _modes(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> dict[tuple[str, ...], Sized]:
     """Most frequent last member of each key set per the members before it.
 
-    Counts and modes of all sets come from one plan: count per (key, value), then the maximum per
-    key, stored once.
+    Counts and modes of the sets of a pass come from one plan: count per (key, value), then the
+    maximum per key, stored once.
     """
-    counts, ids = combine_sets(df, sets, [F.count(F.lit(1)).alias("n")])
-    keys = list(dict.fromkeys(c for s in sets for c in s[:-1]))
-    kinds = {df.schema[s[-1]].dataType.simpleString() for s in sets}
-    kind = kinds.pop() if len(kinds) == 1 else "double"
-    value = F.coalesce(*[F.when(F.col("__set") == ids[tuple(s)], F.col(s[-1]).cast(kind)) for s in sets])
-    per_set = counts.withColumn("__value", value)
-    modes = most_frequent(per_set, ["__set", *keys], "__value")
-    return stage_sets(modes, ids, ["n", "mode"], keys=lambda s: s[:-1])
+    found: dict[tuple[str, ...], Sized] = {}
+    for sets in passes(key_sets):
+        counts, ids = combine_sets(df, sets, [F.count(F.lit(1)).alias("n")])
+        keys = list(dict.fromkeys(c for s in sets for c in s[:-1]))
+        kinds = {df.schema[s[-1]].dataType.simpleString() for s in sets}
+        kind = kinds.pop() if len(kinds) == 1 else "double"
+        value = F.coalesce(*[F.when(F.col("__set") == ids[s], F.col(s[-1]).cast(kind)) for s in sets])
+        modes = most_frequent(counts.withColumn("__value", value), ["__set", *keys], "__value")
+        found |= stage_sets(modes, ids, ["n", "mode"], keys=lambda s: s[:-1])
+    return found
 
 
 def mode_distance(

@@ -246,14 +246,25 @@ def running_total(
     return full.withColumn(out, F.col("__base") + F.col("__run")).drop("__base", "__run", "__slice")
 
 
+# Grouping sets share a scan but also each other's (empty) columns, so their cost grows with the
+# square of their number; and a grouping id has 63 bits.
+_SETS_PER_PASS = 10
+
+
+def passes(key_sets: Sequence[Sequence[str]]) -> list[list[tuple[str, ...]]]:
+    """The distinct key sets, dealt out evenly to passes over the facts."""
+    sets = list(dict.fromkeys(tuple(s) for s in key_sets))
+    count = math.ceil(len(sets) / _SETS_PER_PASS)
+    return [sets[i * len(sets) // count : (i + 1) * len(sets) // count] for i in range(count)]
+
+
 def combine_sets(
     df: DataFrame, key_sets: Sequence[Sequence[str]], aggs: Sequence[Column], *, keep_nulls: bool = False
 ) -> tuple[DataFrame, dict[tuple[str, ...], int]]:
     """Aggregates for several key sets in one table, the set numbered in ``__set``.
 
-    The sets are grouping sets of one aggregate, so the fact table is read once however many keys
-    are asked for, and rows are combined before they are moved.  Without ``keep_nulls`` keys with
-    a null member are left out.
+    The sets are grouping sets of one aggregate, so the facts are read once and rows are combined
+    before they are moved.  Without ``keep_nulls`` keys with a null member are left out.
     """
     sets = list(dict.fromkeys(tuple(s) for s in key_sets))
     cols = list(dict.fromkeys(c for s in sets for c in s))
@@ -281,11 +292,10 @@ def stage_sets(
     path = stage_path(spark)
     seen = Observation()
     width = row_width(table.schema)
-    metrics = [
-        F.expr(m)
-        for number in ids.values()
-        for m in (f"count_if(__set = {number}) as rows_{number}", f"sum(if(__set = {number}, {width}, 0)) as bytes_{number}")
-    ]
+    metrics = []
+    for number in ids.values():
+        metrics.append(F.expr(f"count_if(__set = {number}) as rows_{number}"))
+        metrics.append(F.expr(f"sum(if(__set = {number}, {width}, 0)) as bytes_{number}"))
     table.observe(seen, *metrics).write.partitionBy("__set").parquet(path)
     got = seen.get
     back = spark.read.schema(table.schema).parquet(path)
@@ -302,15 +312,18 @@ def stage_sets(
 def grouped(
     df: DataFrame, key_sets: Sequence[Sequence[str]], aggs: Sequence[Column], *, keep_nulls: bool = False
 ) -> dict[tuple[str, ...], Sized]:
-    """One staged table per key set, all from one scan and one shuffle of the fact table.
+    """One staged table per key set; up to ten sets share a scan and a shuffle of the facts.
 
     Each table carries its keys, the aggregates and ``n``, the number of rows of the key.
     """
     measures = [F.count(F.lit(1)).alias("n"), *aggs]
-    sets = list(dict.fromkeys(tuple(s) for s in key_sets))
-    if len(sets) == 1:
-        table = df.groupBy(*sets[0]).agg(*measures)
-        return {sets[0]: stage(table if keep_nulls else table.dropna(subset=list(sets[0])))}
-    table, ids = combine_sets(df, sets, measures, keep_nulls=keep_nulls)
-    keys = {c for s in sets for c in s}
-    return stage_sets(table, ids, [c for c in table.columns if c not in keys and c != "__set"])
+    found: dict[tuple[str, ...], Sized] = {}
+    for sets in passes(key_sets):
+        if len(sets) == 1:
+            table = df.groupBy(*sets[0]).agg(*measures)
+            found[sets[0]] = stage(table if keep_nulls else table.dropna(subset=list(sets[0])))
+            continue
+        table, ids = combine_sets(df, sets, measures, keep_nulls=keep_nulls)
+        keys = {c for s in sets for c in s}
+        found |= stage_sets(table, ids, [c for c in table.columns if c not in keys and c != "__set"])
+    return found

@@ -256,9 +256,8 @@ def _correlation_blocks(df: DataFrame, cols: list[str]) -> DataFrame:
     Columns are first centred on their means (one row on the driver) to keep the sums accurate.
     """
     p = len(cols)
-    ends = df.agg(
-        *[f(F.col(c).cast("double")).alias(f"{n}_{i}") for i, c in enumerate(cols) for n, f in (("avg", F.avg), ("min", F.min), ("max", F.max))]
-    ).first()
+    wanted = [f"{f}(cast(`{c}` as double)) as {f}_{i}" for i, c in enumerate(cols) for f in ("avg", "min", "max")]
+    ends = df.agg(*[F.expr(w) for w in wanted]).first()
     # A constant column is shifted by its value, so that it is exactly zero.
     shift = [ends[f"min_{i}"] if ends[f"min_{i}"] == ends[f"max_{i}"] else ends[f"avg_{i}"] for i in range(p)]
     centred = df.select(

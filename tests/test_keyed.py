@@ -13,6 +13,7 @@ from ledgerloom.operators.keyed import (
     grouped,
     lookup,
     measure,
+    passes,
     running_total,
     stage,
 )
@@ -137,6 +138,15 @@ def test_grouped_sets_equal_separate_aggregates(spark, facts, keep_nulls):
         assert got.rows == want.count() and got.bytes > 0
 
 
+def test_many_keys_take_several_passes(spark):
+    names = [f"c{i}" for i in range(23)]
+    df = spark.range(50).select(*[(F.col("id") % (i + 2)).alias(c) for i, c in enumerate(names)])
+    assert [len(p) for p in passes([[c] for c in names])] == [7, 8, 8]
+    found = grouped(df, [[c] for c in names], [])
+    assert {k: v.rows for k, v in found.items()} == {(c,): min(50, i + 2) for i, c in enumerate(names)}
+    assert all(v.df.agg(F.sum("n")).first()[0] == 50 for v in found.values())
+
+
 def test_grouped_sets_share_one_stored_table(facts):
     _, df = facts
     found = grouped(df, [["k"], ["id"], ["k", "id"]], [])
