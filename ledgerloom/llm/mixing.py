@@ -16,7 +16,7 @@ sources in the order of cap over weight are full up to the first whose cap excee
 
 Null text has size 0, a null source is a source of its own (the last).  Rows that agree in id and
 size share what is left at the cut evenly, rounded down.  An empty table gives an empty result.
-All columns of the input are kept; an input column named like an added one is an error.
+All columns of the input are kept, except that one named like an added column is replaced.
 """
 
 from __future__ import annotations
@@ -87,9 +87,6 @@ def mix(
     ``size`` is the number of words, by default of the column ``text``.  ``taken`` is
     ``epochs * size`` and, up to the source's cut, another ``size``.
     """
-    clash = [c for c in ADDED if c in df.columns]
-    if clash:
-        raise ValueError(f"columns {clash} are already there")
     size = word_count(F.col("text")) if size is None else size
     key = random_key(F.col(doc_id), seed)
     narrow = stage(
@@ -142,7 +139,7 @@ def mix(
         df.withColumns({"size": size, "__key": key})
         .join(_small(budgets), F.col(source).eqNullSafe(F.col("__source")))
         .select(
-            *df.columns,
+            *[c for c in df.columns if c not in ADDED],
             "size",
             "source_size",
             "target",
@@ -156,14 +153,17 @@ def mixed_documents(df: DataFrame, doc_id: str = "doc_id", source: str = "source
 
     A document that the cut divides appears once more with its first words only.
     """
-    mixed = mix(df, doc_id, source, word_count(F.col(text)), **options)
+    rows = df.select(
+        F.struct(*df.columns).alias("__row"), F.col(doc_id).alias("__id"), F.col(source).alias("__from"), F.col(text).alias("__text")
+    )
+    mixed = mix(rows, "__id", "__from", word_count(F.col("__text")), **options)
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0)
     part = F.col("taken") - whole * F.col("size")
     passes = F.array_repeat(F.lit(-1).cast("bigint"), whole.cast("int"))
     passes = F.when(part > 0, F.concat(passes, F.array(part))).otherwise(passes)
     rows = mixed.withColumn("__words", F.explode(passes))
-    cut = F.when(F.col("__words") < 0, F.col(text)).otherwise(first_words(F.col(text), F.col("__words")))
-    return rows.select(*[cut.alias(c) if c == text else F.col(c) for c in df.columns])
+    cut = F.when(F.col("__words") < 0, F.col("__text")).otherwise(first_words(F.col("__text"), F.col("__words")))
+    return rows.select(*[cut.alias(c) if c == text else F.col("__row").getField(c).alias(c) for c in df.columns])
 
 
 def first_words(text: Column, n: Column) -> Column:
