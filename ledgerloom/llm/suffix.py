@@ -443,18 +443,19 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int
     if length < K or length > 100:
         raise ValueError(f"length must be from {K} to 100")
     base = df.select(*[c for c in df.columns if c not in ADDED])
-    shards, buckets, parts = 4 * tasks(df), 2 * tasks(df), tasks(df)
+    # A row goes from every shard to every bucket, so there are not many more of them than tasks.
+    shards, buckets, parts = 2 * tasks(df), tasks(df), tasks(df)
 
     # A text with more copies than a shard has rows on average: at most as many as there are shards.
-    copies = base.groupBy(F.xxhash64(text).alias("__text")).agg(F.count(F.lit(1)).alias("n"))
-    hot = stage(copies.filter(F.col("n") * shards > base.count()).select("__text"))
+    copies = base.groupBy(F.xxhash64(text).alias("__hot")).agg(F.count(F.lit(1)).alias("n"))
+    hot = stage(copies.filter(F.col("n") * shards > base.count()).select("__hot"))
     own = F.pmod(F.xxhash64(text, F.lit(1)), F.lit(shards))
     spread = F.pmod(F.xxhash64(doc_id, F.lit(2)), F.lit(shards))
     columns = list(base.columns)
     docs = (
-        base.join(F.broadcast(hot), F.xxhash64(text) == F.col("__text"), "left")
-        .withColumn("shard", F.when(F.col("__text").isNull(), own).otherwise(spread).cast("int"))
-        .drop("__text")
+        base.join(F.broadcast(hot), F.xxhash64(text) == F.col("__hot"), "left")
+        .withColumn("shard", F.when(F.col("__hot").isNull(), own).otherwise(spread).cast("int"))
+        .drop("__hot")
         .select(F.col("shard").alias("__shard"), *columns)
         .repartition(parts, "__shard")
     )
