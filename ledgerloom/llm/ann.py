@@ -17,7 +17,8 @@ cells, from as many rows, are all that is fitted; every row is indexed.
 
 Buckets are dealt to groups by hash; a bucket with more rows than a group has on average is dealt
 out over several, and its queries go to each.  A query's vector is sent once to a group, with the
-list of buckets it visits there.
+list of buckets it visits there, and a score that the k-th answer cannot be below: the k-th best
+of a few thousand rows that all queries are compared with (candidates like all others).
 
 Rows whose vector is null, zero, or holds a null or non-finite component take no part.  Vectors of
 unequal length count as filled up with zeros.  A query's own row is no candidate; other rows with
@@ -43,6 +44,8 @@ TABLES, HASHES = 4, 8
 #: Width of a cell, in deviations of the projections.
 WIDTH = 2.0
 SAMPLE, RECALL = 128, 0.97
+#: Rows that every query is compared with first: their k-th best score is one that any answer beats.
+FIRST_ROWS = 4096
 _SEED = 17
 _STEPS = np.array(list(product((0, -1, 1), repeat=HASHES)), np.int8)
 _MIX = np.random.default_rng(23).integers(1, 2**62, HASHES, dtype=np.int64) * 2 + 1
@@ -138,6 +141,14 @@ def _fit_probes(index: _Index, sample: pd.DataFrame, nearest: pd.DataFrame, wide
     return int(min(len(_STEPS), wanted + 1))
 
 
+def _runs(x: np.ndarray) -> tuple[list[int], list[int]]:
+    """Where runs of equal values start and stop."""
+    if not len(x):
+        return [], []
+    first = np.nonzero(np.concatenate([[True], x[1:] != x[:-1]]))[0]
+    return first.tolist(), np.append(first[1:], len(x)).tolist()
+
+
 def nearest(
     df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "embedding", k: int = 20, recall: float = RECALL
 ) -> DataFrame:
@@ -149,7 +160,7 @@ def nearest(
     vectors = stage(packed(rows.select("row", "vec_id", "v"), wide, "<f8"))
     picked = F.xxhash64("row", F.lit(3))
     sample = vectors.filter(is_query).orderBy(picked, "row").limit(SAMPLE).toPandas()
-    some = vectors.orderBy(picked, "row").limit(SAMPLE * 16).toPandas()
+    some = vectors.orderBy(picked, "row").limit(FIRST_ROWS).toPandas()
     index = _Index(wide, largest, 1.0)
     if len(some):
         spread = np.std([index.cells(matrix(some["v"], "<f8", wide), t) - index.shifts[t] for t in range(TABLES)])
@@ -163,7 +174,8 @@ def nearest(
                 columns = [pa.array(np.full(len(x), t, np.int32)), pa.array(index.bucket(index.cells(x, t))), *b.columns]
                 yield pa.RecordBatch.from_arrays(columns, ["tab", "bucket", "row", "vec_id", "v"])
 
-    groups = 2 * tasks(df)
+    known, known_rows = matrix(some["v"], "<f8", wide), some["row"].to_numpy()
+    groups = tasks(df)
     # Buckets larger than a group is on average: at most TABLES * groups of them.
     counts = vectors.mapInArrow(place, "tab int, bucket long, row long, vec_id long, v binary").groupBy("tab", "bucket").count()
     large = {(r["tab"], r["bucket"]): -(-r["count"] * groups // max(1, n)) for r in counts.filter(F.col("count") * groups > n).collect()}
@@ -188,6 +200,10 @@ def nearest(
             for lo in range(0, whole.num_rows, 256):
                 b = whole.slice(lo, 256)
                 q, found = matrix(b.column(2).to_pylist(), "<f8", wide), []
+                score = np.where(b.column(0).to_numpy()[:, None] == known_rows[None], -np.inf, q @ known.T)
+                least = np.partition(score, -k, axis=1)[:, -k] if len(known) >= k else np.full(len(q), -np.inf)
+                # Below by more than rounding, so that no equal score is lost.
+                least -= 1e-9 * np.abs(np.where(np.isfinite(least), least, 0)) + 1e-12 * largest * largest
                 for t in range(TABLES):
                     bucket, _ = index.probes(index.cells(q, t, True), probes)
                     of = np.repeat(np.arange(len(q)), bucket.shape[1])
@@ -203,53 +219,91 @@ def nearest(
                 of, group = found[new, 0], found[new, 1]
                 lists = [found[a:z, 2:].tobytes() for a, z in zip(starts[:-1], starts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(group.astype(np.int32)), *[c.take(pa.array(of)) for c in b.columns], pa.array(lists, pa.binary())],
-                    ["g", "row", "vec_id", "v", "visits"],
+                    [pa.array(group.astype(np.int32)), *[c.take(pa.array(of)) for c in b.columns], pa.array(least[of]), pa.array(lists, pa.binary())],
+                    ["g", "row", "vec_id", "v", "least", "visits"],
+                )
+
+    known_ids = pa.array(some["vec_id"].astype("Int64"), pa.int64())
+
+    def opening(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The best of the first rows: candidates like those of the buckets."""
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 256):
+                b = whole.slice(lo, 256)
+                q = matrix(b.column(2).to_pylist(), "<f8", wide)
+                score = np.where(b.column(0).to_numpy()[:, None] == known_rows[None], -np.inf, q @ known.T)
+                n = min(k, len(known))
+                at = np.argpartition(-score, n - 1, axis=1)[:, :n] if n else np.empty((len(q), 0), np.int64)
+                of, at = np.repeat(np.arange(len(q)), n), at.ravel()
+                real = score[of, at] > -np.inf
+                of, at = of[real], at[real]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        b.column(0).take(pa.array(of)),
+                        b.column(1).take(pa.array(of)),
+                        pa.array(known_rows[at], pa.int64()),
+                        known_ids.take(pa.array(at)),
+                        pa.array(np.einsum("nd,nd->n", q[of], known[at])),
+                    ],
+                    ["query", "query_id", "row", "vec_id", "score"],
                 )
 
     def search(queries: pa.Table, block: pa.Table) -> pa.Table:
-        out = {"query": [], "query_id": [], "at": [], "score": []}
+        at, of, score = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
         if queries.num_rows and block.num_rows:
-            x = matrix(block.column("v").to_pylist(), "<f8", wide)
-            rows, tab, bucket = (block.column(c).to_numpy() for c in ("row", "tab", "bucket"))
-            ids = block.column("vec_id").fill_null(np.iinfo(np.int64).max).to_numpy()
+            x, q = (matrix(t.column("v").to_pylist(), "<f8", wide) for t in (block, queries))
+            tab, bucket = block.column("tab").to_numpy().astype(np.int64), block.column("bucket").to_numpy()
             order = np.lexsort((bucket, tab))
-            keys = np.stack([tab, bucket], 1)[order].astype(np.int64)
-            kind = np.dtype([("tab", np.int64), ("bucket", np.int64)])
-            keys = np.ascontiguousarray(keys).view(kind).ravel()
-            q = matrix(queries.column("v").to_pylist(), "<f8", wide)
-            for i, (row, id_, visits) in enumerate(zip(queries.column("row").to_pylist(), queries.column("vec_id").to_pylist(), queries.column("visits").to_pylist(), strict=True)):
-                seen = np.frombuffer(visits, kind)
-                lo, hi = np.searchsorted(keys, seen), np.searchsorted(keys, seen, side="right")
-                spans = [order[a:z] for a, z in zip(lo.tolist(), hi.tolist(), strict=True) if z > a]
-                if not spans:
-                    continue
-                at = np.concatenate(spans)
-                at = at[rows[at] != row]
-                score = x[at] @ q[i]
-                if len(at) > 4 * k:  # candidates of several tables count once below
-                    least = np.partition(score, len(at) - TABLES * k)[len(at) - TABLES * k] if len(at) > TABLES * k else -np.inf
-                    at, score = at[score >= least], score[score >= least]
-                rank = np.lexsort((rows[at], ids[at], -score))
-                at, score = at[rank], score[rank]
-                _, first = np.unique(rows[at], return_index=True)
-                first = np.sort(first)[:k]
-                out["query"] += [row] * len(first)
-                out["query_id"] += [id_] * len(first)
-                out["at"].append(at[first])
-                out["score"].append(score[first])
-        at = np.concatenate(out["at"]) if out["at"] else np.empty(0, np.int64)
-        score = np.concatenate(out["score"]) if out["score"] else np.empty(0)
-        taken = block.select(["row", "vec_id"]).take(pa.array(at)) if len(at) else pa.table({"row": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64())})
+            keys = np.stack([tab, bucket], 1)[order]
+            starts = np.nonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(1)]))[0]
+            place = {k: i for i, k in enumerate(map(tuple, keys[starts].tolist()))}
+            stops = np.append(starts[1:], len(keys))
+            # Who visits each bucket: the queries of a bucket are scored against its rows in one product.
+            lists = [np.frombuffer(v, np.int64).reshape(-1, 2) for v in queries.column("visits").to_pylist()]
+            who = np.repeat(np.arange(len(lists)), [len(v) for v in lists])
+            where = np.fromiter((place.get(k, -1) for k in map(tuple, np.concatenate(lists).tolist())), np.int64, len(who))
+            who, where = who[where >= 0], where[where >= 0]
+            by = np.argsort(where, kind="stable")
+            who, where = who[by], where[by]
+            least, sorted_x = queries.column("least").to_numpy(), x[order]
+            found = []
+            for lo, hi in zip(*_runs(where), strict=True):
+                a, z = starts[where[lo]], stops[where[lo]]
+                for s in range(a, z, 4096):
+                    e = min(z, s + 4096)
+                    i, j = np.nonzero(q[who[lo:hi]] @ sorted_x[s:e].T >= least[who[lo:hi], None])
+                    found.append((who[lo:hi][i], order[s:e][j]))
+            if found:
+                of, at = (np.concatenate(f) for f in zip(*found, strict=True))
+            rows, own = block.column("row").to_numpy(), queries.column("row").to_numpy()
+            other = rows[at] != own[of]
+            of, at = of[other], at[other]
+            score = np.einsum("nd,nd->n", q[of], x[at])
+            ids = block.column("vec_id").fill_null(np.iinfo(np.int64).max).to_numpy()
+            rank = np.lexsort((rows[at], ids[at], -score, of))
+            of, at, score = of[rank], at[rank], score[rank]
+            once = np.ones(len(of), bool)  # a row that several tables found
+            once[1:] = (of[1:] != of[:-1]) | (rows[at][1:] != rows[at][:-1])
+            of, at, score = of[once], at[once], score[once]
+            begin = np.searchsorted(of, of)
+            best = np.arange(len(of)) - begin < k
+            of, at, score = of[best], at[best], score[best]
         return pa.table(
-            [pa.array(out["query"], pa.int64()), pa.array(out["query_id"], pa.int64()), taken.column("row"), taken.column("vec_id"), pa.array(score)],
+            [
+                queries.column("row").take(pa.array(of)),
+                queries.column("vec_id").take(pa.array(of)),
+                block.column("row").take(pa.array(at)),
+                block.column("vec_id").take(pa.array(at)),
+                pa.array(score),
+            ],
             names=["query", "query_id", "row", "vec_id", "score"],
         )
 
     x = vectors.mapInArrow(deal, "g int, tab int, bucket long, row long, vec_id long, v binary")
-    q = vectors.filter(is_query).mapInArrow(visit, "g int, row long, vec_id long, v binary, visits binary")
+    q = vectors.filter(is_query).mapInArrow(visit, "g int, row long, vec_id long, v binary, least double, visits binary")
     schema = "query long, query_id long, row long, vec_id long, score double"
     found = q.groupBy("g").cogroup(x.groupBy("g")).applyInArrow(search, schema)
+    found = found.union(vectors.filter(is_query).mapInArrow(opening, schema))
     once = found.groupBy("query", "query_id", "row", "vec_id").agg(F.max("score").alias("score"))
     return merged(once, k)
 
