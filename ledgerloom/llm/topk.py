@@ -34,6 +34,8 @@ from .registry import named, table
 BLOCK_ROWS = 8_192
 BLOCK_QUERIES = 1_024
 SEGMENTS = (1, 4, 16)
+#: With a larger share of the pairs left, a bound is one matrix product, else it is taken pair by pair.
+_DENSE = 0.1
 _LAST = np.iinfo(np.int64).max
 
 
@@ -82,25 +84,31 @@ def best_in_block(q: np.ndarray, x: np.ndarray, same: np.ndarray, order: np.ndar
     rank of the rows' ids.
     """
     qf, xf = q.astype("f8"), x.astype("f8")
-    # Rounding errors of the bounds: a margin far above what the products can lose.
-    margin = 1e-9 * np.outer(np.sqrt((qf * qf).sum(1)), np.sqrt((xf * xf).sum(1))) + 1e-6
-    bound = segment_features(qf, segments[0]) @ segment_features(xf, segments[0]).T
+    # Rounding errors of the bounds: a margin far above what the products can lose, as one more term.
+    q_margin, x_margin = 1e-9 * np.sqrt((qf * qf).sum(1, keepdims=True)), np.sqrt((xf * xf).sum(1, keepdims=True))
+    alive = np.ones((len(q), len(x)), bool)
     own = np.nonzero(same >= 0)[0]
-    bound[own, same[own]] = -np.inf
-    first = min(k, x.shape[0])
-    seed = np.argpartition(-bound, first - 1, axis=1)[:, :first]
-    exact = np.einsum("qkd,qd->qk", x[seed], q)
-    exact = np.where(np.isneginf(np.take_along_axis(bound, seed, 1)), np.iinfo(np.int64).min, exact)
-    # The worst of k candidates: whatever is below cannot be among the best k.
-    to_beat = exact.min(1) if first == k else np.full(len(q), np.iinfo(np.int64).min)
-    qi, xi = np.nonzero((bound + margin >= to_beat[:, None]) & ~np.isneginf(bound))
-    for s in segments[1:]:
-        a, b = segment_features(qf, s), segment_features(xf, s)
-        keep = np.empty(len(qi), bool)
-        for lo in range(0, len(qi), 500_000):
-            i, j = qi[lo : lo + 500_000], xi[lo : lo + 500_000]
-            keep[lo : lo + 500_000] = np.einsum("nd,nd->n", a[i], b[j]) + margin[i, j] >= to_beat[i]
-        qi, xi = qi[keep], xi[keep]
+    alive[own, same[own]] = False
+    # What is below the worst of k candidates cannot be among the best k.
+    lowest = np.iinfo(np.int64).min
+    to_beat = np.full(len(q), lowest)
+    for s in segments:
+        a, b = np.hstack([segment_features(qf, s), q_margin]), np.hstack([segment_features(xf, s), x_margin])
+        if alive.mean() > _DENSE:
+            bound = a @ b.T + 1e-6
+            bound[~alive] = -np.inf
+            if len(x) >= k:
+                seed = np.argpartition(bound, -k, axis=1)[:, -k:]
+                exact = np.einsum("qkd,qd->qk", x[seed], q)
+                exact[np.isneginf(np.take_along_axis(bound, seed, 1))] = lowest
+                to_beat = np.maximum(to_beat, exact.min(1))
+            alive &= bound >= to_beat[:, None]
+        else:
+            qi, xi = np.nonzero(alive)
+            for lo in range(0, len(qi), 500_000):
+                i, j = qi[lo : lo + 500_000], xi[lo : lo + 500_000]
+                alive[i, j] = np.einsum("nd,nd->n", a[i], b[j]) + 1e-6 >= to_beat[i]
+    qi, xi = np.nonzero(alive)
     score = np.empty(len(qi), np.int64)
     for lo in range(0, len(qi), 500_000):
         i, j = qi[lo : lo + 500_000], xi[lo : lo + 500_000]
