@@ -12,8 +12,13 @@ DAY = 86400
 
 
 def from_seconds(c: Column, origin: str = ORIGIN) -> Column:
-    """Timestamp of a number of seconds since ``origin``."""
-    return F.timestamp_seconds(F.unix_timestamp(F.lit(origin).cast("timestamp")) + c)
+    """Time of a number of seconds since ``origin``, both without a zone: no clock change shifts it."""
+    return F.timestamp_add("SECOND", c.cast("bigint"), F.lit(origin).cast("timestamp_ntz"))
+
+
+def epoch(ts: Column, unit: str = "SECOND") -> Column:
+    """Whole units since 1970 of a time without a zone."""
+    return F.timestamp_diff(unit, F.lit("1970-01-01").cast("timestamp_ntz"), ts)
 
 
 def month_idx(ts: Column, base_year: int = BASE_YEAR) -> Column:

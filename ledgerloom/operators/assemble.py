@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .keyed import stage
 
-def require_unique(df: DataFrame, key: str) -> None:
-    """Refuse a table whose key repeats: joining it would multiply rows."""
-    repeated = df.groupBy(key).count().filter(F.col("count") > 1)
+
+def require_unique(df: DataFrame, key: str) -> DataFrame:
+    """Refuse a table whose key repeats: joining it would multiply rows.  Hands out the table as it
+    was stored for the check, so that it is not computed again."""
+    stored = stage(df).df
+    repeated = stored.groupBy(key).count().filter(F.col("count") > 1)
     if not repeated.isEmpty():
         raise ValueError(f"{key} is not unique")
+    return stored
 
 
 def new_columns(left: DataFrame, right: DataFrame) -> list[str]:
@@ -23,9 +28,8 @@ def new_columns(left: DataFrame, right: DataFrame) -> list[str]:
 
 def bind_columns(left: DataFrame, right: DataFrame, *, key: str, check: bool = True) -> DataFrame:
     """Add the columns that are not present yet; on a name both have, ``left`` wins."""
-    if check:
-        require_unique(right, key)
-    return left.join(right.select(key, *new_columns(left, right)), key, "left")
+    right = right.select(key, *new_columns(left, right))
+    return left.join(require_unique(right, key) if check else right, key, "left")
 
 
 def assemble_sets(base: DataFrame, *sets: DataFrame, key: str, check: bool = True) -> DataFrame:

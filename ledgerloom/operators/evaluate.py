@@ -2,44 +2,67 @@
 
 from __future__ import annotations
 
-import heapq
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .keyed import attach, measure, running_total, stage
 
-MAX_FOLD_GROUPS = 1_000_000
 
+def _deal(sizes: Mapping[int, int], k: int) -> list[tuple[int, list[tuple[int, list[int]]]]]:
+    """How groups are dealt to ``k`` folds, the largest first, each to the lightest fold.
 
-def group_folds(
-    df: DataFrame, group: str, *, k: int = 5, fold: str = "fold", max_groups: int = MAX_FOLD_GROUPS
-) -> DataFrame:
+    ``sizes`` is the number of groups of each size.  Groups of one size form a run: its first
+    groups fill up the lighter folds, a fold joins in once the others have caught up with it, and
+    from then on folds take turns.  For each size: from which place in the run on, whose turns.
+    """
+    load, out = [0] * k, []
+    for size in sorted(sizes, reverse=True):
+        lightest = sorted(range(k), key=lambda f: (load[f], f))
+        parts: list[tuple[int, list[int]]] = []
+        for i, f in enumerate(lightest):
+            taken = {f: 0}
+            for g in lightest[:i]:  # groups that g has got before f is the lightest
+                gap = load[f] - load[g]
+                taken[g] = -(-gap // size) + (gap % size == 0 and g < f)
+            start = sum(taken.values())
+            if start >= sizes[size]:
+                break
+            parts.append((start, sorted(taken, key=lambda g: (load[g] + taken[g] * size, g))))
+        for (start, turns), end in zip(parts, [*[s for s, _ in parts[1:]], sizes[size]]):
+            whole, rest = divmod(end - start, len(turns))
+            for j, g in enumerate(turns):
+                load[g] += size * (whole + (j < rest))
+        out.append((size, parts))
+    return out
+
+
+def group_folds(df: DataFrame, group: str, *, k: int = 5, fold: str = "fold") -> DataFrame:
     """Give all rows of a group the same fold, folds being about equally large.
 
     Groups are counted on the cluster; the largest one goes to the lightest fold, and so on (the
-    smaller value, and the lower fold, first on a tie).  Groups are calendar periods; a key with
-    more than ``max_groups`` values is refused, since the assignment runs on the driver.
+    smaller value, and the lower fold, first on a tie).  The driver sees how many groups there are
+    of each size; a group finds its fold from its size and its place among those of equal size.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    rows = sizes.limit(max_groups + 1).collect()
-    if len(rows) > max_groups:
-        raise ValueError(f"{group} has more than {max_groups} values; group folds need a period")
-    load = [(0, f) for f in range(k)]
-    placed = []
-    for row in sorted(rows, key=lambda r: (-r["n"], r[group] is not None, r[group])):
-        rows_in_fold, f = heapq.heappop(load)
-        heapq.heappush(load, (rows_in_fold + row["n"], f))
-        placed.append((row[group], row["n"], f))
-    kind = df.schema[group].dataType.simpleString()
-    table = df.sparkSession.createDataFrame(placed, f"`{group}` {kind}, __n bigint, `{fold}` int")
-    return attach(df, measure(table), [group], [fold], null_safe=True, weight="__n")
+    groups = stage(df.groupBy(group).agg(F.count(F.lit(1)).alias("__n"), F.lit(1).alias("__one")))
+    sizes = {r["__n"]: r["count"] for r in groups.df.groupBy("__n").count().collect()}
+    schema = "__n bigint, __parts array<struct<start: bigint, turns: array<int>>>"
+    turns = measure(df.sparkSession.createDataFrame(_deal(sizes, k), schema))
+    placed = running_total(groups, ["__n"], [group], "__one", "__upto")
+    placed = attach(placed, turns, ["__n"], ["__parts"])
+    place = F.col("__upto") - 1
+    part = F.element_at(F.filter("__parts", lambda p: p["start"] <= place), -1)
+    turn = F.get(part["turns"], ((place - part["start"]) % F.size(part["turns"])).cast("int"))
+    table = stage(placed.select(group, "__n", turn.alias(fold)))
+    return attach(df, table, [group], [fold], null_safe=True, weight="__n")
 
 
 def random_folds(df: DataFrame, id_col: str, *, k: int = 5, seed: int = 42, fold: str = "fold") -> DataFrame:
     """A shuffled fold that depends on the id alone, so a recomputed task agrees with itself."""
-    return df.withColumn(fold, F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(k)).cast("int"))
+    text = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}"))
+    key = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+    return df.withColumn(fold, F.pmod(key, F.lit(k)).cast("int"))
 
 
 def last_fold(df: DataFrame, *, k: int = 5, fold: str = "fold") -> tuple[DataFrame, DataFrame]:
@@ -50,12 +73,15 @@ def last_fold(df: DataFrame, *, k: int = 5, fold: str = "fold") -> tuple[DataFra
 def auc(df: DataFrame, *, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; null where a class is missing.
 
+    A row without a score is an error: leaving it out would flatter the scores.
+
     Rows are first counted per distinct score.  The rank sum then needs only a running total over
     scores, which stays distributed even when every row has its own score.
     """
     by = list(by)
     y = F.col(label)
-    counts = df.filter(F.col(score).isNotNull()).groupBy(*by, F.col(score).alias("__score")).agg(
+    missing = F.raise_error(F.lit(f"{score} is missing for some rows")).cast(df.schema[score].dataType)
+    counts = df.groupBy(*by, F.coalesce(F.col(score), missing).alias("__score")).agg(
         F.count_if(y == 1).alias("__pos"), F.count_if(y == 0).alias("__neg")
     )
     table = stage(counts)

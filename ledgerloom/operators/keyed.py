@@ -7,8 +7,8 @@ lives here once:
 
 * the table is written to the shared folder and measured while it is written;
 * a table under the broadcast limit is broadcast: the fact side is not shuffled at all;
-* a larger table is joined in two steps.  The heaviest keys (a fixed number of them) are
-  broadcast; rows with such a key, or with a null key that matches nothing, are spread over
+* a larger table is joined in two steps.  The keys with more rows than a reducer gets on average
+  (there are at most as many as reducers) are broadcast; rows with such a key, or with a null key that matches nothing, are spread over
   all reducers, and only the remaining rows meet the remaining keys in a shuffled join.  No
   key is dropped and none is left to a single task.
 """
@@ -150,9 +150,10 @@ def attach(
 def attach_all(df: DataFrame, lookups: Sequence[Lookup], *, id_col: str | None = None) -> DataFrame:
     """Left join any number of keyed tables.
 
-    With ``id_col`` (unique in ``df``) the tables too large to broadcast are joined to the id and
-    the keys alone, each on its own, and the results meet the wide rows by id, so that those are
-    exchanged once and not once per key.
+    With ``id_col`` the tables too large to broadcast are joined to the id and the keys alone, each
+    on its own, and the results meet the wide rows by id, so that those are exchanged once and not
+    once per key.  That needs ids that are neither missing nor repeated, which is counted first;
+    otherwise the ids are not used.
     """
     taken = set(df.columns)
     for item in lookups:
@@ -162,10 +163,13 @@ def attach_all(df: DataFrame, lookups: Sequence[Lookup], *, id_col: str | None =
         taken |= set(item.values)
     small = _broadcast_together(lookups)
     large = [item for i, item in enumerate(lookups) if i not in small]
-    out = df
+    out, slim = df, None
     if large and id_col is not None:
         keys = list(dict.fromkeys(c for item in large for c in item.on if c != id_col))
-        slim = stage(df.select(id_col, *keys)).df
+        slim = stage(df.select(id_col, *keys))
+        ids = slim.df.agg(F.countDistinct(id_col)).first()[0]
+        slim = slim.df if ids == slim.rows else None
+    if slim is not None:
         for item in large:
             found = _split_join(slim.select(id_col, *[c for c in item.on if c != id_col]), item)
             out = out.join(found.select(id_col, *item.values), id_col, "left")
@@ -180,18 +184,21 @@ def attach_all(df: DataFrame, lookups: Sequence[Lookup], *, id_col: str | None =
 
 
 def _split_join(df: DataFrame, item: Lookup) -> DataFrame:
-    """Broadcast the heaviest keys, shuffle the rest; rows of the former are spread evenly."""
+    """Broadcast the keys with more than a reducer's share of the rows, shuffle the rest; rows of
+    the former are spread evenly."""
     table, on, values, null_safe, weight = item.table, item.on, item.values, item.null_safe, item.weight
     pairs, keys, key_names = item.pairs, item.keys, item.key_names
-    top = setting(df.sparkSession, "hotKeys")
+    reducers = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = [f"`{v}` as __hot{i}" for i, v in enumerate(values)]
     held_names = [f"__hot{i}" for i in range(len(values))]
     if weight is not None:
-        heaviest = table.df.orderBy(F.desc(weight), *[f"`{c}`" for c in on.values()]).limit(top)
+        total = table.df.agg(F.sum(weight)).first()[0] or 0
+        heaviest = table.df.filter(F.col(weight) * reducers > total)
         hot = heaviest.selectExpr(*keys, *held, "true as __is_hot")
     else:
-        counts = df.groupBy(*[F.col(f"`{left}`").alias(k) for left, k in pairs]).count()
-        heavy = stage(counts.orderBy(F.desc("count"), *key_names).limit(top).drop("count")).df
+        counts = stage(df.groupBy(*[F.col(f"`{left}`").alias(k) for left, k in pairs]).count()).df
+        total = counts.agg(F.sum("count")).first()[0] or 0
+        heavy = stage(counts.filter(F.col("count") * reducers > total).drop("count")).df
         right = table.df.selectExpr(*[f"`{c}` as __t{i}" for i, c in enumerate(on.values())], *held)
         test = _same([(k, f"__t{i}") for i, k in enumerate(key_names)], null_safe)
         known = right.join(F.broadcast(heavy), test, "inner").select(*key_names, *held_names)
@@ -201,7 +208,7 @@ def _split_join(df: DataFrame, item: Lookup) -> DataFrame:
             *[f"__h{i} as {k}" for i, k in enumerate(key_names)], *held_names, "true as __is_hot"
         )
 
-    # At most `top` rows, whatever the size of the data.
+    # Fewer rows than there are reducers, whatever the size of the data.
     marked = df.join(F.broadcast(hot), _same(pairs, null_safe), "left").drop(*key_names)
     spread = ["__is_hot is not null"]
     if not null_safe:
@@ -210,10 +217,10 @@ def _split_join(df: DataFrame, item: Lookup) -> DataFrame:
     slot = f"if({' or '.join(spread)}, spark_partition_id() + 1, 0)"
     marked = marked.withColumn("__slot", F.expr(slot))
     # Always 0, but not a literal: a literal would be folded and the slot would leave the join key.
-    always = f"pmod(hash({', '.join(key_names)}), 1) as __at"
+    always = f"pmod(hash({', '.join(key_names)}), 1) as __slot_key"
     cold = table.df.selectExpr(*keys, *[f"`{v}` as __cold{i}" for i, v in enumerate(values)])
     cold = cold.selectExpr("*", always)
-    joined = marked.join(cold, _same([*pairs, ("__slot", "__at")], null_safe), "left")
+    joined = marked.join(cold, _same([*pairs, ("__slot", "__slot_key")], null_safe), "left")
     out = [f"coalesce(__hot{i}, __cold{i}) as `{v}`" for i, v in enumerate(values)]
     return joined.selectExpr(*[f"`{c}`" for c in df.columns], *out)
 

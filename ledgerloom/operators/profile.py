@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..session import setting
-from .keyed import attach, stage
+from .keyed import attach, running_total, stage
 from .ranks import values_at_ranks
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -84,7 +84,8 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def value_shares(df: DataFrame, col: str, *, k: int = 5) -> DataFrame:
     """Share of the ``k`` most frequent values, a missing value being one of them."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()
+    counts = stage(counts).df
+    total = counts.agg(F.sum("n")).first()[0] or 0
     shares = counts.select(col, F.try_divide(F.col("n"), F.lit(total)).alias("share"))
     return shares.orderBy(F.desc("share"), F.col(col).asc_nulls_last()).limit(k)
 
@@ -92,15 +93,15 @@ def value_shares(df: DataFrame, col: str, *, k: int = 5) -> DataFrame:
 def category_counts(df: DataFrame, cols: Sequence[str], *, k: int | None = None) -> DataFrame:
     """Frequency of every present value of many columns, in one shuffle; optionally the top ``k``.
 
-    The top list is cut inside each map task before rows move, so a column with very many values
-    does not collect them in one place.
+    Ranks come from a running total that stays distributed however many values a column has.
     """
     long = _long(df, [], cols, "string").filter(F.col("value").isNotNull())
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     if k is None:
         return counts
-    w = Window.partitionBy("column").orderBy(F.desc("n"), "value")
-    return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    ready = stage(counts.select("*", (-F.col("n")).alias("__down"), F.lit(1).alias("__one")))
+    ranked = running_total(ready, ["column"], ["__down", "value"], "__one", "rank")
+    return ranked.filter(F.col("rank") <= k).select("column", "value", "n", F.col("rank").cast("int").alias("rank"))
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
@@ -233,8 +234,12 @@ def target_correlations(df: DataFrame, label: str, cols: Sequence[str]) -> DataF
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of each pair (first <= second in the given order) over complete pairs."""
+    """Pearson correlation of each pair (first <= second in the given order) over complete pairs.
+
+    NaN is a missing value.
+    """
     cols = list(cols or numeric_columns(df))
+    df = df.select(*[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in cols])
     if len(cols) <= PAIRWISE_COLUMNS:
         pairs = list(combinations_with_replacement(range(len(cols)), 2))
         x = [F.col(c).cast("double") for c in cols]
@@ -280,7 +285,9 @@ def _correlation_blocks(df: DataFrame, cols: list[str]) -> DataFrame:
         parts += [pa.array(t[upper_i, upper_j]) for t in total]
         yield pa.RecordBatch.from_arrays(parts, names=["i", "j", *sums])
 
-    pair = centred.mapInArrow(partial, schema).groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in sums])
+    # Every task hands on a row for each pair, so there are no more tasks than cores use well.
+    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
+    pair = centred.coalesce(tasks).mapInArrow(partial, schema).groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in sums])
 
     def variance(total: str, squares: str) -> Column:
         v = F.col(squares) - F.try_divide(F.col(total) * F.col(total), F.col("n"))

@@ -62,14 +62,14 @@ def _pick(present, keys, value, ranks, near) -> DataFrame:
         below = [F.when(F.col(value) > edge[i], edge[i]) for i in range(1, len(ends), 2)]
         nearest = F.greatest(*below) if len(below) > 1 else below[0]
         at = F.when(inside, F.col(value)).otherwise(nearest)
-    counted = present.groupBy(*keys, at.alias("__at")).agg(
+    counted = present.groupBy(*keys, at.alias("__value_at")).agg(
         F.count_if(inside).alias("__in"), F.count(F.lit(1)).alias("__n")
     )
-    upto = running_total(stage(counted), keys, ["__at"], "__n", "__upto")
+    upto = running_total(stage(counted), keys, ["__value_at"], "__n", "__upto")
     ranked = _with_group(upto, totals, keys, ["__rows"])
     last = F.col("__upto") - F.col("__n") + F.col("__in")  # rows up to and with this value itself
     first = F.col("__upto") - F.col("__n")
-    picks = [F.max(F.when((first <= r) & (r < last), F.col("__at"))).alias(name) for name, r in ranks.items()]
+    picks = [F.max(F.when((first <= r) & (r < last), F.col("__value_at"))).alias(name) for name, r in ranks.items()]
     return ranked.groupBy(*keys).agg(F.max("__rows").alias("__rows"), *picks)
 
 

@@ -43,6 +43,8 @@ def last_period_split(df: DataFrame, period: str) -> tuple[DataFrame, DataFrame]
 def row_cutoff(df: DataFrame, order: Sequence[str], k: int) -> list | None:
     """Order values of the ``k``-th row (from 1), or null when there are fewer rows.
 
+    Missing values come first, as in Spark's own order.
+
     Found one order column after the other from ranks, so the table is not sorted and no long
     list of rows meets in one task.
     """
@@ -51,8 +53,14 @@ def row_cutoff(df: DataFrame, order: Sequence[str], k: int) -> list | None:
         return None
     fixed: list = []
     for i, c in enumerate(order):
-        prefix = [F.col(o) == F.lit(v) for o, v in zip(order[:i], fixed)]
+        prefix = [F.col(o).eqNullSafe(F.lit(v)) for o, v in zip(order[:i], fixed)]
         rows = df.filter(reduce(lambda a, b: a & b, prefix)) if prefix else df
+        missing = rows.agg(F.count_if(F.col(c).isNull())).first()[0]
+        if k <= missing:
+            fixed.append(None)
+            total = missing
+            continue
+        k, total = k - missing, total - missing
         found = values_at_ranks(rows, [], c, {"at": F.lit(k - 1)}, [(k - 1) / max(1, total - 1)], total)
         value = found.first()["at"]
         fixed.append(value)
@@ -65,11 +73,13 @@ def row_cutoff(df: DataFrame, order: Sequence[str], k: int) -> list | None:
 def _before(order: Sequence[str], cut: Sequence, *, inclusive: bool):
     tests = []
     for i, c in enumerate(order):
-        step = [F.col(o) == F.lit(v) for o, v in zip(order[:i], cut)] + [F.col(c) < F.lit(cut[i])]
-        tests.append(reduce(lambda a, b: a & b, step))
+        if cut[i] is None:
+            continue  # nothing comes before a missing value
+        step = [F.col(o).eqNullSafe(F.lit(v)) for o, v in zip(order[:i], cut)]
+        tests.append(reduce(lambda a, b: a & b, [*step, F.col(c).isNull() | (F.col(c) < F.lit(cut[i]))]))
     if inclusive:
-        tests.append(reduce(lambda a, b: a & b, [F.col(o) == F.lit(v) for o, v in zip(order, cut)]))
-    return reduce(lambda a, b: a | b, tests)
+        tests.append(reduce(lambda a, b: a & b, [F.col(o).eqNullSafe(F.lit(v)) for o, v in zip(order, cut)]))
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
 def first_rows(df: DataFrame, order: Sequence[str], k: int) -> DataFrame:

@@ -98,7 +98,7 @@ def enc_target_mean_inplace(spark, d):
 
 
 def _label(expression: str) -> str:
-    return f"CAST(dense_rank() OVER (ORDER BY {expression}) - 1 AS INTEGER)"
+    return f"CAST(dense_rank() OVER (ORDER BY {expression}) - 1 AS BIGINT)"
 
 
 @named(

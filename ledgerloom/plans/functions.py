@@ -349,7 +349,7 @@ SECONDS_SQL = """s AS (SELECT o_orderkey AS txn_id,
 
 
 def _seconds(spark, d):
-    wrapped = F.pmod(F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) - 788918400, F.lit(400 * 86400))
+    wrapped = F.pmod(dates.epoch(F.col("o_orderdate")) - 788918400, F.lit(400 * 86400))
     time_of_day = F.pmod(F.col("o_orderkey") * 977, F.lit(86400))
     s = roles.table(spark, d, "orders").select(F.col("o_orderkey").alias("txn_id"), (wrapped + time_of_day).alias("dt"))
     return s.withColumn("ts", dates.from_seconds(F.col("dt")))

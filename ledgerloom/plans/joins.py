@@ -52,11 +52,11 @@ def join_anti_keys(spark, d):
 @named(
     "join_lookup",
     f"""WITH {roles.TRANSACTIONS} SELECT txn_id, addr1, n_name AS nation FROM txn
-  LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON addr1 = n_nationkey""",
+  LEFT JOIN (SELECT CASE WHEN n_nationkey < 20 THEN n_nationkey END AS k, n_name FROM nation) ON addr1 = k""",
 )
 def join_lookup(spark, d):
-    names = roles.table(spark, d, "nation").filter(F.col("n_nationkey") < 20)
-    names = names.select("n_nationkey", F.col("n_name").alias("nation"))
+    known = F.when(F.col("n_nationkey") < 20, F.col("n_nationkey")).alias("n_nationkey")
+    names = roles.table(spark, d, "nation").select(known, F.col("n_name").alias("nation"))
     t = roles.transactions(spark, d).select("txn_id", "addr1")
     return attach(t, measure(names), {"addr1": "n_nationkey"})
 
@@ -85,13 +85,13 @@ def join_literal_dict(spark, d):
 
 @named(
     "bind_columns",
-    f"""WITH {roles.TRANSACTIONS}, x AS (SELECT txn_id, -1.0 AS amount, D1, D2 FROM txn WHERE txn_id % 3 <> 0)
+    f"""WITH {roles.TRANSACTIONS}, x AS (SELECT CASE WHEN txn_id % 3 <> 0 THEN txn_id ELSE -txn_id END AS txn_id, -1.0 AS amount, D1, D2 FROM txn)
   SELECT t.txn_id, t.amount, t.product, x.D1, x.D2 FROM txn t LEFT JOIN x ON t.txn_id = x.txn_id""",
 )
 def bind_columns(spark, d):
     left = roles.orders(spark, d).select("txn_id", "amount", "product")
-    right = roles.transactions(spark, d).filter(F.col("txn_id") % 3 != 0)
-    right = right.select("txn_id", F.lit(-1.0).alias("amount"), "D1", "D2")
+    other = F.when(F.col("txn_id") % 3 != 0, F.col("txn_id")).otherwise(-F.col("txn_id"))
+    right = roles.transactions(spark, d).select(other.alias("txn_id"), F.lit(-1.0).alias("amount"), "D1", "D2")
     return assemble.bind_columns(left, right, key="txn_id")
 
 

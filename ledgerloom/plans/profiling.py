@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import concat_key
+from ..functions import dates
 from ..operators import masks, profile
 from . import roles
 from .registry import R, named, r
@@ -33,11 +34,11 @@ def prof_shape(spark, d):
   UNION ALL SELECT 'o_custkey', 'bigint', count(o_custkey) FROM orders
   UNION ALL SELECT 'o_orderstatus', 'string', count(o_orderstatus) FROM orders
   UNION ALL SELECT 'o_totalprice', 'double', count(o_totalprice) FROM orders
+  UNION ALL SELECT 'o_orderdate', 'timestamp_ntz', count(o_orderdate) FROM orders
   UNION ALL SELECT 'o_orderpriority', 'string', count(o_orderpriority) FROM orders""",
 )
 def prof_dtypes(spark, d):
-    # The time column is left out: its Spark type depends on how the file marks time zones.
-    return profile.column_types(roles.table(spark, d, "orders").drop("o_orderdate"))
+    return profile.column_types(roles.table(spark, d, "orders"))
 
 
 @named("prof_head", "SELECT * FROM customer ORDER BY c_custkey LIMIT 5")
@@ -63,10 +64,14 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.withColumns({c: r(c, 4) + F.lit(0.0) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")})
 
 
-@named("prof_describe", _describe_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_linenumber"]))
+NUMERIC = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"
+]
+
+
+@named("prof_describe", _describe_sql("lineitem", NUMERIC))
 def prof_describe(spark, d):
-    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_linenumber"]
-    return _rounded(profile.describe(roles.table(spark, d, "lineitem"), cols))
+    return _rounded(profile.describe(roles.table(spark, d, "lineitem")))
 
 
 @named("prof_describe_by_class", f"WITH {roles.ORDERS} {_describe_sql('txn', ['amount'], 'label')}")
@@ -226,7 +231,7 @@ def prof_histogram_density(spark, d):
   FROM s, e GROUP BY 1, 2""",
 )
 def prof_hist_compare(spark, d):
-    o = roles.orders(spark, d).select("split", F.unix_timestamp("ts").alias("t"))
+    o = roles.orders(spark, d).select("split", dates.epoch(F.col("ts")).alias("t"))
     return profile.histogram(o, "t", bins=10, by=["split"]).drop("left_edge")
 
 
@@ -239,8 +244,8 @@ def prof_time_series(spark, d):
     return profile.time_series(roles.events(spark, d), "DT_D", "value").withColumn("avg_value", r("avg_value"))
 
 
-CORR = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-CORR_SQL = ("l_quantity", "nullif(l_extendedprice, 0)", "CASE WHEN l_discount > 0 THEN l_discount END", "l_tax")
+CORR = tuple(NUMERIC)
+CORR_SQL = tuple("CASE WHEN l_discount > 0 THEN l_discount END" if c == "l_discount" else c for c in NUMERIC)
 
 
 def _corr_input(spark, d):
@@ -249,7 +254,7 @@ def _corr_input(spark, d):
 
 
 def _corr_sql() -> str:
-    pairs = [(i, j) for i in range(4) for j in range(i, 4)]
+    pairs = [(i, j) for i in range(len(CORR)) for j in range(i, len(CORR))]
     return " UNION ALL ".join(
         f"""SELECT '{CORR[i]}' AS col_a, '{CORR[j]}' AS col_b, {R(f'corr({CORR_SQL[i]}, {CORR_SQL[j]})', 8)} AS corr
   FROM lineitem""".replace("FROM lineitem", f"FROM lineitem WHERE {CORR_SQL[i]} IS NOT NULL AND {CORR_SQL[j]} IS NOT NULL")
@@ -257,6 +262,32 @@ def _corr_sql() -> str:
     )
 
 
+# More columns than one aggregate takes, each missing (null or NaN) in rows of its own.
+WIDE = [f"(l_quantity * {i + 1} + l_partkey) % {7 + i} + l_tax" for i in range(14)]
+
+
+def _wide_sql() -> str:
+    cols = ", ".join(f"CASE WHEN l_linenumber % 4 <> {i % 4} THEN CAST({x} AS DOUBLE) END AS c{i}" for i, x in enumerate(WIDE))
+    pairs = [(i, j) for i in range(len(WIDE)) for j in range(i, len(WIDE))]
+    found = " UNION ALL ".join(
+        f"SELECT 'c{i}' AS col_a, 'c{j}' AS col_b, {R(f'corr(c{i}, c{j})', 7)} AS corr FROM w "
+        f"WHERE c{i} IS NOT NULL AND c{j} IS NOT NULL"
+        for i, j in pairs
+    )
+    return f"WITH w AS (SELECT {cols} FROM lineitem) {found}"
+
+
+@named("prof_corr_wide", _wide_sql())
+def prof_corr_wide(spark, d):
+    missing = ("CAST('NaN' AS DOUBLE)", "CAST(NULL AS DOUBLE)")
+    cols = [
+        f"CASE WHEN l_linenumber % 4 <> {i % 4} THEN CAST({x} AS DOUBLE) ELSE {missing[i % 2]} END AS c{i}"
+        for i, x in enumerate(WIDE)
+    ]
+    w = roles.table(spark, d, "lineitem").selectExpr(*cols)
+    return profile.correlation_matrix(w).withColumn("corr", r("corr", 7))
+
+
 @named("prof_corr_matrix", _corr_sql())
 def prof_corr_matrix(spark, d):
     return profile.correlation_matrix(_corr_input(spark, d)).withColumn("corr", r("corr", 8))
@@ -301,29 +332,33 @@ def prof_rare_count(spark, d):
     return masks.rare_counts(roles.orders(spark, d), ["card1", "amount"])
 
 
-NARROWED = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount"]
+KEYS = ["l_orderkey", "l_partkey", "l_suppkey"]  # their narrowest type depends on the size of the tables
+NARROWED = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @named(
     "prof_narrow_types",
     f"""SELECT CAST(l_linenumber AS TINYINT) AS l_linenumber, CAST(l_quantity AS FLOAT) AS l_quantity,
-  {R('CAST(l_extendedprice AS FLOAT)', 4)} AS l_extendedprice, {R('CAST(l_discount AS FLOAT)', 8)} AS l_discount
+  {R('CAST(l_extendedprice AS FLOAT)', 4)} AS l_extendedprice, {R('CAST(l_discount AS FLOAT)', 8)} AS l_discount,
+  {R('CAST(l_tax AS FLOAT)', 8)} AS l_tax, {', '.join(KEYS)}
   FROM lineitem""",
 )
 def prof_narrow_types(spark, d):
-    li = roles.table(spark, d, "lineitem").select(*NARROWED)
+    li = roles.table(spark, d, "lineitem").select(*NARROWED, *KEYS)
     out = profile.apply_types(li, profile.narrow_types(li))
-    return out.withColumns({"l_extendedprice": r("l_extendedprice", 4), "l_discount": r("l_discount", 8)})
+    rounded = {"l_extendedprice": r("l_extendedprice", 4), "l_discount": r("l_discount", 8), "l_tax": r("l_tax", 8)}
+    return out.withColumns(rounded | {c: F.col(c).cast("bigint") for c in KEYS})
 
 
 @named(
     "prof_lossless_check",
-    "SELECT 'l_linenumber' AS \"column\", CAST(0 AS BIGINT) AS changed UNION ALL "
+    "SELECT unnest(['l_linenumber', 'l_orderkey', 'l_partkey', 'l_suppkey']) AS \"column\", "
+    "CAST(0 AS BIGINT) AS changed UNION ALL "
     + " UNION ALL ".join(
         f"SELECT '{c}', count(*) FILTER ({c} <> CAST(CAST({c} AS FLOAT) AS DOUBLE)) FROM lineitem"
         for c in NARROWED[1:]
     ),
 )
 def prof_lossless_check(spark, d):
-    li = roles.table(spark, d, "lineitem").select(*NARROWED)
+    li = roles.table(spark, d, "lineitem").select(*NARROWED, *KEYS)
     return profile.lossless_check(li, profile.narrow_types(li))

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import dates
 from ..operators import evaluate, masks, profile, rows
 from ..sources import tables as io
 from . import roles
@@ -51,7 +55,7 @@ def filter_non_null(spark, d):
   UNION ALL SELECT txn_id, 'tail' FROM n WHERE down <= 2000""",
 )
 def filter_rows_head_tail(spark, d):
-    o = roles.orders(spark, d).select("txn_id", F.unix_micros("ts").alias("at"))
+    o = roles.orders(spark, d).select("txn_id", dates.epoch(F.col("ts"), "MICROSECOND").alias("at"))
     first = rows.first_rows(o, ["at", "txn_id"], 9000).select("txn_id", F.lit("head").alias("part"))
     last = rows.last_rows(o, ["at", "txn_id"], 2000).select("txn_id", F.lit("tail").alias("part"))
     return first.unionByName(last)
@@ -175,14 +179,11 @@ def set_union_all(spark, d):
 
 @named(
     "set_union_stack",
-    f"""WITH {roles.IMPORTANCES} SELECT fold, feature, {R('importance', 4)} AS importance FROM imp WHERE fold = 0
-  UNION ALL SELECT fold, feature, {R('importance', 4)} FROM imp WHERE fold = 1
-  UNION ALL SELECT fold, feature, {R('importance', 4)} FROM imp WHERE fold = 2""",
+    f"""WITH {roles.IMPORTANCES} SELECT fold, feature, {R('importance', 4)} AS importance FROM imp""",
 )
 def set_union_stack(spark, d):
     imp = roles.importances(spark, d).withColumn("importance", r("importance", 4))
-    parts = [imp.filter(F.col("fold") == f) for f in range(3)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, [imp.filter(F.col("fold") == f) for f in range(5)])
 
 
 @named("set_distinct", f"WITH {roles.TRANSACTIONS} SELECT DISTINCT card1, card5 FROM txn WHERE split = 'test'")

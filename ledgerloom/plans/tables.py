@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import output_path
 from ..sources import tables as io
 from . import roles
 from .registry import R, named, r
@@ -21,7 +22,7 @@ ORDERS_CSV = (
 )
 def src_csv(spark, d):
     o = roles.table(spark, d, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
-    path = io.write_csv(o.withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P"))))
+    path = io.write_csv(o.withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P"))), output_path(spark))
     back = io.read_csv(spark, path, ORDERS_CSV)
     return back.withColumn("day", F.date_format("o_orderdate", "yyyy-MM-dd")).drop("o_orderdate")
 
@@ -29,7 +30,7 @@ def src_csv(spark, d):
 @named("src_stage", f"WITH {roles.TRANSACTIONS} SELECT txn_id, card1, amount, card5, D2, label, split, DT_M FROM txn")
 def src_stage(spark, d):
     t = roles.transactions(spark, d)
-    path = io.write_stage(t, partition_by=["split"])
+    path = io.write_stage(t, output_path(spark), partition_by=["split"])
     return io.read_stage(spark, path).select("txn_id", "card1", "amount", "card5", "D2", "label", "split", "DT_M")
 
 
@@ -37,7 +38,7 @@ def src_stage(spark, d):
 def sink_csv(spark, d):
     # `props` is JSON, full of quotes and commas.
     e = roles.table(spark, d, "events").select("event_id", "event_type", "value", "props")
-    return io.read_csv(spark, io.write_csv(e), "event_id bigint, event_type string, value double, props string")
+    return io.read_csv(spark, io.write_csv(e, output_path(spark)), "event_id bigint, event_type string, value double, props string")
 
 
 @named(
@@ -49,11 +50,11 @@ def sink_scores(spark, d):
     test = roles.orders(spark, d).filter(F.col("split") == "test")
     sample = test.select("txn_id", F.lit(0.5).alias("score"))
     scores = test.filter(F.col("card4").isNotNull()).select("txn_id", r(F.col("amount") / 1000000).alias("score"))
-    path = io.write_scores(sample, scores, key="txn_id", score="score")
+    path = io.write_scores(sample, scores, output_path(spark), key="txn_id", score="score")
     return io.read_csv(spark, path, "txn_id bigint, score double")
 
 
 @named("sink_exclusions", f"WITH {roles.ORDERS} SELECT card1, amount, product, card4 FROM txn")
 def sink_exclusions(spark, d):
-    path = io.write_exclusions(spark, ["txn_id", "ts", "label", "split", "DT_M", "DT_M"])
+    path = io.write_exclusions(spark, ["txn_id", "ts", "label", "split", "DT_M", "DT_M"], output_path(spark))
     return roles.orders(spark, d).drop(*io.read_exclusions(spark, path))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -14,8 +17,6 @@ _DEFAULTS = {
     "spark.ledgerloom.broadcastTotalBytes": 128 * 1024 * 1024,
     # An ordered running total gives each task about this many rows.
     "spark.ledgerloom.rowsPerTask": 1_000_000,
-    # How many of the heaviest keys are joined by broadcast when the rest is shuffled.
-    "spark.ledgerloom.hotKeys": 1_000,
 }
 
 
@@ -40,15 +41,39 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_scope: ContextVar[str] = ContextVar("scope", default="session")
+
+
 def stage_path(spark: SparkSession) -> str:
-    """A new, unused path under the shared folder, grouped by application."""
+    """A new, unused path for intermediate data, grouped by application and by ``staging`` scope."""
     app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/ledgerloom/{app}/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/ledgerloom/{app}/{_scope.get()}/{uuid.uuid4().hex}"
+
+
+def output_path(spark: SparkSession) -> str:
+    """A new path for results.  Nothing here is ever released."""
+    return f"{shared_folder(spark)}/ledgerloom-output/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end; write the results before."""
+    name = uuid.uuid4().hex
+    token = _scope.set(name)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        _delete(spark, f"/{name}")
 
 
 def release_staged(spark: SparkSession) -> None:
     """Delete every table this application staged (call when its results are written)."""
+    _delete(spark, "")
+
+
+def _delete(spark: SparkSession, below: str) -> None:
     jvm = spark.sparkContext._jvm
     app = spark.sparkContext.applicationId
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/ledgerloom/{app}")
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/ledgerloom/{app}{below}")
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -46,9 +46,8 @@ def setting(spark):
 
 @pytest.fixture
 def no_broadcast(setting):
-    """Send every keyed join down the shuffled way, with only two keys joined by broadcast."""
+    """Send every keyed join down the shuffled way, with only the hot keys joined by broadcast."""
     setting("spark.ledgerloom.broadcastBytes", 0)
-    setting("spark.ledgerloom.hotKeys", 2)
 
 
 @pytest.fixture(scope="session")

@@ -33,7 +33,7 @@ def test_auc_against_brute_force(spark, setting, per_task, levels):
 
 
 def test_auc_of_ties_and_classes(spark):
-    df = spark.createDataFrame([(1, 0.5), (0, 0.5), (1, 0.5), (0, None)], "y int, s double")
+    df = spark.createDataFrame([(1, 0.5), (0, 0.5), (1, 0.5)], "y int, s double")
     assert evaluate.auc(df, label="y", score="s").first()["auc"] == 0.5
     hard = spark.createDataFrame([(1, 0.9), (0, 0.6), (1, 0.55), (0, 0.1)], "y int, s double")
     assert evaluate.auc_hard_label(hard, label="y", score="s").first()["auc"] == 0.75
@@ -49,8 +49,31 @@ def test_group_folds_balance_and_keep_groups_together(spark):
     for (_, f), n in found.items():
         load[f] += n
     assert sorted(load.values()) == [50, 55, 60]
-    with pytest.raises(ValueError):
-        evaluate.group_folds(df, "g", max_groups=3)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_groups_are_dealt_like_one_after_the_other(seed):
+    rng = random.Random(seed)
+    k = rng.randint(1, 6)
+    sizes = {rng.randint(1, 12): rng.randint(1, 30) for _ in range(rng.randint(1, 6))}
+    load, want = [0] * k, []
+    for size in sorted(sizes, reverse=True):
+        for _ in range(sizes[size]):
+            f = min(range(k), key=lambda f: (load[f], f))
+            load[f] += size
+            want.append(f)
+    got = []
+    for size, parts in evaluate._deal(sizes, k):
+        for place in range(sizes[size]):
+            start, turns = [p for p in parts if p[0] <= place][-1]
+            got.append(turns[(place - start) % len(turns)])
+    assert got == want
+
+
+def test_auc_refuses_rows_without_a_score(spark):
+    df = spark.createDataFrame([(1, 0.5), (0, None)], "y int, s double")
+    with pytest.raises(Exception, match="missing"):
+        evaluate.auc(df, label="y", score="s").collect()
 
 
 def test_random_folds_depend_on_the_id_only(spark):

@@ -13,7 +13,6 @@ from ledgerloom.operators import groupstats as g
 def joined(request, setting):
     if request.param == "shuffled":
         setting("spark.ledgerloom.broadcastBytes", 0)
-        setting("spark.ledgerloom.hotKeys", 1)
 
 
 def frame(spark, rows, schema="id int, split string, k string, p int, x double"):

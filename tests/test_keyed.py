@@ -43,7 +43,6 @@ def test_attach_agrees_however_it_joins(facts, setting, null_safe, weight, id_co
     rows, df = facts
     if limit is not None:
         setting("spark.ledgerloom.broadcastBytes", limit)
-        setting("spark.ledgerloom.hotKeys", 3)
     table = grouped(df, [["k"]], [], keep_nulls=True)[("k",)]
     ready = table.select("k", "n", F.col("n").alias("found"))
     out = attach(df, ready, ["k"], ["found"], null_safe=null_safe, weight=weight, id_col=id_col)
@@ -59,7 +58,7 @@ def test_hot_keys_leave_the_shuffled_key(facts, no_broadcast, setting):
     plan = plan_of(out)
     assert "SortMergeJoin" in plan and "__slot" in plan and "CartesianProduct" not in plan
     marked = plan.split("SortMergeJoin")[1].splitlines()[0]
-    assert "__slot" in marked and "__at" in marked  # the slot is part of the join key
+    assert "__slot#" in marked and "__slot_key#" in marked  # the slot is part of the join key
 
 
 def test_hot_and_missing_keys_are_spread(spark, no_broadcast, setting):
@@ -204,3 +203,22 @@ def test_shared_folder_is_never_a_machine_s_own_on_a_cluster(spark, tmp_path):
     Session.sparkContext.folder = "hdfs://shared"
     assert session.stage_path(Session()).startswith("hdfs://shared/ledgerloom/app/")
     assert session.stage_path(spark).startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+
+
+def test_ids_that_repeat_or_are_missing_change_nothing(spark, no_broadcast, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", -1)
+    df = stage(spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (None, "b")], "id int, k string")).df
+    table = grouped(df, [["k"]], [])[("k",)].select("k", F.col("n").alias("m"))
+    out = attach_all(df, [lookup(table, ["k"], ["m"])], id_col="id")
+    assert rows_of(out) == rows_of(attach_all(df, [lookup(table, ["k"], ["m"])]))
+    assert [r["m"] for r in out.collect()] == [2, 2, 2, 2]
+
+
+def test_results_outlive_what_was_staged(spark):
+    path = session.output_path(spark)
+    with session.staging(spark):
+        table = stage(spark.range(3)).df
+        table.write.parquet(path)
+    with pytest.raises(Exception):
+        table.collect()
+    assert spark.read.parquet(path).count() == 3

@@ -24,6 +24,15 @@ def test_query_has_rows(spark, name):
     assert QUERIES[name](spark, SMALL).count() > 0
 
 
+@pytest.mark.parametrize("name", sorted(n for n in ORACLES if n.startswith("dt_")))
+def test_dates_do_not_depend_on_the_zone(spark, duck, setting, name):
+    setting("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert compare(spark, duck, SMALL, QUERIES[name], ORACLES[name]) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
 
@@ -32,9 +41,16 @@ def test_oracles_belong_to_queries():
     assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", ["enc_count_union_nulls", "agg_uid_stats", "agg_mode_dist", "pred_isin_flag", "flagship"])
-def test_results_hold_when_every_join_is_shuffled(spark, duck, no_broadcast, setting, name):
+SCALED = (
+    "enc_count_union_nulls agg_uid_stats agg_mode_dist pred_isin_flag flagship prof_describe prof_describe_by_class "
+    "cv_group_folds enc_label prof_category_counts join_lookup ev_auc_by_fold filter_rows_head_tail"
+).split()
+
+
+@pytest.mark.parametrize("name", SCALED)
+def test_results_hold_with_the_plans_for_large_tables(spark, duck, no_broadcast, setting, name):
     setting("spark.sql.autoBroadcastJoinThreshold", -1)
+    setting("spark.ledgerloom.rowsPerTask", 300)
     assert compare(spark, duck, SMALL, QUERIES[name], ORACLES[name]) is None
 
 

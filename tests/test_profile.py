@@ -124,11 +124,12 @@ def test_nulls_shares_and_classes(spark):
     assert tuple(profile.shape(df, "t").first()) == ("t", 4, 2)
 
 
-def test_top_values_cut_before_the_shuffle(spark):
+@pytest.mark.parametrize("per_task", [1_000_000, 5])
+def test_top_values(spark, setting, per_task):
+    setting("spark.ledgerloom.rowsPerTask", per_task)
     df = spark.createDataFrame([(i % 40, i % 3) for i in range(200)], "a int, b int")
     out = profile.category_counts(df, ["a", "b"], k=2)
     assert rows_of(out, "column", "rank") == [("a", "0", 5, 1), ("a", "1", 5, 2), ("b", "0", 67, 1), ("b", "1", 67, 2)]
-    assert out._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
 
 
 def test_narrowing_has_exclusive_bounds(spark):
@@ -147,3 +148,18 @@ def test_narrowing_has_exclusive_bounds(spark):
 def test_lossless_check_finds_what_narrowing_changes(spark):
     df = spark.createDataFrame([(1, 0.5), (2, 0.1), (3, None)], "a long, x double")
     assert rows_of(profile.lossless_check(df, profile.narrow_types(df))) == [("a", 0), ("x", 1)]
+
+
+@pytest.mark.parametrize("columns", [3, 14])
+def test_nan_is_missing_in_correlations(spark, columns):
+    nan = float("nan")
+    data = [(1.0, 2.0, nan), (2.0, nan, 1.0), (3.0, 5.0, 2.0), (4.0, 9.0, None), (5.0, 7.0, 4.0)]
+    wide = [(*r, *[float(i * j % 5) for j in range(columns - 3)]) for i, r in enumerate(data)]
+    names = [f"c{i}" for i in range(columns)]
+    df = spark.createDataFrame(wide, ", ".join(f"{n} double" for n in names))
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in profile.correlation_matrix(df).collect()}
+    pairs = [(a, b) for a, b, _ in data if a == a and b == b]
+    n, mx, my = len(pairs), sum(a for a, _ in pairs) / len(pairs), sum(b for _, b in pairs) / len(pairs)
+    cov = sum((a - mx) * (b - my) for a, b in pairs)
+    spread = (sum((a - mx) ** 2 for a, _ in pairs) * sum((b - my) ** 2 for _, b in pairs)) ** 0.5
+    assert n == 4 and got["c0", "c1"] == pytest.approx(cov / spread)

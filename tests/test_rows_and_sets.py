@@ -39,7 +39,6 @@ def test_last_period_split(spark):
 def test_members(spark, setting, limit):
     if limit is not None:
         setting("spark.ledgerloom.broadcastBytes", limit)
-        setting("spark.ledgerloom.hotKeys", 1)
     df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "id int, k string")
     keys = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
     assert rows_of(rows.keep_members(df, keys, ["k"])) == [(1, "a"), (2, "a")]
@@ -110,21 +109,28 @@ def test_csv_round_trip(spark, tmp_path):
     path = io.write_csv(df, str(tmp_path / "out"))
     back = io.read_csv(spark, path, schema, multiline=True)
     assert rows_of(back, "x", "i") == rows_of(df, "x", "i")
-    blank = io.write_csv(spark.createDataFrame([(1, "")], "i int, s string"))
+    blank = io.write_csv(spark.createDataFrame([(1, "")], "i int, s string"), str(tmp_path / "blank"))
     assert rows_of(io.read_csv(spark, blank, "i int, s string")) == [(1, None)]
 
 
-def test_scores_follow_the_sample(spark):
+def test_scores_follow_the_sample(spark, tmp_path):
     sample = spark.createDataFrame([(3, 0.5), (1, 0.5), (2, 0.5)], "id int, y double")
     scores = spark.createDataFrame([(1, 0.25), (3, 0.75), (9, 1.0)], "id int, y double")
-    path = io.write_scores(sample, scores, key="id", score="y")
+    path = io.write_scores(sample, scores, str(tmp_path / "scores"), key="id", score="y")
     assert rows_of(io.read_csv(spark, path, "id int, y double")) == [(1, 0.25), (2, None), (3, 0.75)]
 
 
-def test_exclusions_round_trip(spark):
-    path = io.write_exclusions(spark, ["b", "a", "b"])
+def test_exclusions_round_trip(spark, tmp_path):
+    path = io.write_exclusions(spark, ["b", "a", "b"], str(tmp_path / "names"))
     assert io.read_exclusions(spark, path) == ["a", "b"]
     df = spark.createDataFrame([(1, "X")], "n int, s string")
     assert io.text_columns(df) == ["s"]
     assert io.transform_text(df, F.lower).first()["s"] == "x"
     assert io.typed(df, n="string").dtypes == [("n", "string"), ("s", "string")]
+
+
+def test_missing_order_values_come_first(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (3, 3), (4, 4), (5, 5)], "a int, b int")
+    take = lambda d: sorted(r["b"] for r in d.collect())
+    assert [take(rows.first_rows(df, ["a", "b"], k)) for k in (1, 3, 4)] == [[1], [1, 2, 3], [1, 2, 3, 4]]
+    assert [take(rows.last_rows(df, ["a", "b"], k)) for k in (3, 4)] == [[3, 4, 5], [2, 3, 4, 5]]
