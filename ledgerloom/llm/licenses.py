@@ -1,7 +1,8 @@
 """License scans: an exact set-similarity join of text blocks with notice templates, native only.
 
 A block is a line.  A block carries a notice when at least ``threshold`` of the distinct words of
-one of its templates occur in it (containment).  The join is exact and filtered:
+one of its templates occur in it (containment); a template of fewer than ``WHOLE`` words must occur
+whole, since its few distinguishing words may be the missing ones.  The join is exact and filtered:
 
 * **order**: template words are ordered by the number of blocks of the whole corpus that hold them,
   rarest first;
@@ -60,6 +61,8 @@ TEMPLATES = (
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
 )
 THRESHOLD = 0.8
+#: Templates of fewer distinct words must be contained whole.
+WHOLE = 10
 # A word of the lower-cased text, and the same class before lower-casing.
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 _ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -126,7 +129,7 @@ def scan(
         F.when(has, tail).alias("last_word"),
         lines.alias("lines"),
     )
-    least = min(math.ceil(threshold * len(t) - 1e-9) for t in words)
+    least = min(_need(len(t), threshold) for t in words)
     documents = stage(
         read.select(
             "row",
@@ -149,7 +152,7 @@ def scan(
     entries, sets = [], []
     for number, ((label, _), own) in enumerate(zip(templates, words, strict=True)):
         own = sorted(rank[w] for w in own)
-        need = max(1, math.ceil(threshold * len(own) - 1e-9))
+        need = _need(len(own), threshold)
         sets.append((number, label, own, need))
         entries += [(r, number, i, len(own), need) for i, r in enumerate(own[: len(own) - need + 1])]
     ranks = F.create_map(*[x for w in vocabulary for x in (F.lit(w), F.lit(rank[w]))])
@@ -203,6 +206,11 @@ def scan(
     )
 
 
+def _need(n: int, threshold: float) -> int:
+    """How many of the ``n`` words of a template a block must hold."""
+    return n if n < WHOLE else max(1, math.ceil(threshold * n - 1e-9))
+
+
 def _last_start(phrase: str) -> Column:
     """Number of words before the last place of the phrase, null without one."""
     before = F.regexp_extract("text", rf"(?s)^(.*){_pattern(phrase)}", 1)

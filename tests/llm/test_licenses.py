@@ -56,3 +56,15 @@ def test_against_brute_force(spark):
 
 def test_empty_table(spark):
     assert licenses.scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_short_templates_need_all_words(spark):
+    texts = {
+        "Released under the Apache License": "apache",
+        "Released under the BSD license.": "",
+        "Licensed under CC BY 4.0": "",
+        "Released under the MIT License": "mit",
+        "Licensed under CC BY-NC 4.0": "cc-by-nc",
+    }
+    df = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], SCHEMA)
+    assert {r["doc_id"]: r["labels"] for r in licenses.scan(df).collect()} == dict(enumerate(texts.values()))
