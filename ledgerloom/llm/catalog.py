@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, chat, extraction, langid, licenses, lines, merkle, minhash, mixing, packing, suffix, topk  # noqa: F401
+from . import alignment, ann, chat, extraction, langid, licenses, lines, merkle, minhash, mixing, packing, suffix, topk  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
