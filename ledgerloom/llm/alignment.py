@@ -274,7 +274,7 @@ def _frequent(counts: DataFrame) -> tuple[pa.Table, int]:
     """The most frequent pairs, and the number of links from which on a pair is one of them."""
     size = F.floor(F.log2("n")).cast("int")
     sizes = counts.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("pairs")).collect()  # 64 rows at most
-    least, total = 64, 0
+    least, total = 62, 0  # no pair has 2 ** 62 links
     for row in sorted(sizes, reverse=True):
         total += row["pairs"]
         if total > FREQUENT:
