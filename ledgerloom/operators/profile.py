@@ -8,6 +8,7 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +20,8 @@ from .ranks import values_at_ranks
 
 QUARTILES = (0.25, 0.5, 0.75)
 
-# Above this many columns the correlations are summed as matrices instead of one aggregate a pair.
-PAIRWISE_COLUMNS = 12
+# Correlation sums are handed on in tiles of this many columns squared, and added up so many at a time.
+_TILE, _FAN = 64, 16
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -240,14 +241,6 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     """
     cols = list(cols or numeric_columns(df))
     df = df.select(*[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in cols])
-    if len(cols) <= PAIRWISE_COLUMNS:
-        pairs = list(combinations_with_replacement(range(len(cols)), 2))
-        x = [F.col(c).cast("double") for c in cols]
-        wide = df.agg(*[pearson(x[i], x[j]).alias(f"{i}_{j}") for i, j in pairs])
-        long = wide.unpivot([], [f"{i}_{j}" for i, j in pairs], "pair", "corr")
-        name = F.create_map(*[F.lit(v) for i, c in enumerate(cols) for v in (str(i), c)])
-        ends = F.split("pair", "_")
-        return long.select(name[ends[0]].alias("col_a"), name[ends[1]].alias("col_b"), "corr")
     return _correlation_blocks(df, cols)
 
 
@@ -256,7 +249,8 @@ _NO_SPREAD = 1e-13
 
 
 def _correlation_blocks(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pair sums per Arrow batch of rows as matrix products, then added up per pair.
+    """Pair sums as matrix products over each task's rows, cut into tiles, and the tiles of the tasks
+    added up in a tree: no group has more than ``_FAN`` tiles, whatever the number of tasks.
 
     Columns are first centred on their means (one row on the driver) to keep the sums accurate.
     """
@@ -268,9 +262,8 @@ def _correlation_blocks(df: DataFrame, cols: list[str]) -> DataFrame:
     centred = df.select(
         *[(F.col(c).cast("double") - F.lit(float(shift[i] or 0.0))).alias(f"x{i}") for i, c in enumerate(cols)]
     )
-    upper_i, upper_j = np.triu_indices(p)
     sums = ("n", "sx", "sy", "sxx", "syy", "sxy")
-    schema = "i int, j int, " + ", ".join(f"{s} double" for s in sums)
+    tiled = "part int, a int, b int, sums binary"
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(sums), p, p))
@@ -281,13 +274,34 @@ def _correlation_blocks(df: DataFrame, cols: list[str]) -> DataFrame:
             m, sq = here.astype(float), x * x
             sx, sxx = x.T @ m, sq.T @ m
             total += np.stack([m.T @ m, sx, sx.T, sxx, sxx.T, x.T @ x])
-        parts = [pa.array(upper_i.astype("int32")), pa.array(upper_j.astype("int32"))]
-        parts += [pa.array(t[upper_i, upper_j]) for t in total]
-        yield pa.RecordBatch.from_arrays(parts, names=["i", "j", *sums])
-
-    # Every task hands on a row for each pair, so there are no more tasks than cores use well.
-    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
-    pair = centred.coalesce(tasks).mapInArrow(partial, schema).groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in sums])
+        part = TaskContext.get().partitionId()
+        for a, b in combinations_with_replacement(range(0, p, _TILE), 2):
+            tile = total[:, a : a + _TILE, b : b + _TILE].tobytes()
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "a": pa.array([a], pa.int32()), "b": pa.array([b], pa.int32()), "sums": [tile]})
+
+    def add(tiles: pa.Table) -> pa.Table:
+        tiles = tiles.sort_by("part")  # always in the same order, so that a rerun rounds alike
+        total = sum(np.frombuffer(x) for x in tiles.column("sums").to_pylist())
+        first = tiles.slice(0, 1)
+        parent = pa.array([first.column("part")[0].as_py() // _FAN], pa.int32())
+        return pa.table([parent, first.column("a"), first.column("b"), pa.array([total.tobytes()])], names=["part", "a", "b", "sums"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, tile in zip(*[batch.column(c).to_pylist() for c in ("a", "b", "sums")], strict=True):
+                total = np.frombuffer(tile).reshape(len(sums), min(_TILE, p - a), -1)
+                i, j = np.indices(total.shape[1:])
+                keep = i + a <= j + b
+                ends = [pa.array((x[keep] + o).astype("int32")) for x, o in ((i, a), (j, b))]
+                yield pa.RecordBatch.from_arrays([*ends, *[pa.array(t[keep]) for t in total]], names=["i", "j", *sums])
+
+    tiles = stage(centred.mapInArrow(partial, tiled)).df
+    last = tiles.agg(F.max("part")).first()[0] or 0
+    while last:
+        group = F.floor(F.col("part") / _FAN).alias("group")
+        tiles = stage(tiles.groupBy(group, "a", "b").applyInArrow(add, tiled)).df
+        last //= _FAN
+    pair = tiles.mapInArrow(pairs, "i int, j int, " + ", ".join(f"{s} double" for s in sums))
 
     def variance(total: str, squares: str) -> Column:
         v = F.col(squares) - F.try_divide(F.col(total) * F.col(total), F.col("n"))

@@ -163,3 +163,20 @@ def test_nan_is_missing_in_correlations(spark, columns):
     cov = sum((a - mx) * (b - my) for a, b in pairs)
     spread = (sum((a - mx) ** 2 for a, _ in pairs) * sum((b - my) ** 2 for _, b in pairs)) ** 0.5
     assert n == 4 and got["c0", "c1"] == pytest.approx(cov / spread)
+
+
+def test_correlations_of_430_columns(spark):
+    """Several tiles a side and several levels of the tree, with NaN, null and a constant column."""
+    rng = np.random.default_rng(3)
+    n, p = 700, 430
+    x = rng.normal(size=(n, p)) + rng.normal(size=(n, 1)) * rng.uniform(0, 2, p) + 1e6
+    x[:, 7] = 3.0
+    rows = [[None if (i + j) % 11 == 0 else float("nan") if (i * j) % 13 == 5 else float(x[i, j]) for j in range(p)] for i in range(n)]
+    df = spark.createDataFrame(rows, ", ".join(f"c{j} double" for j in range(p))).repartition(40)
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in profile.correlation_matrix(df).collect()}
+    assert len(got) == p * (p + 1) // 2
+    plain = np.array([[np.nan if v is None else v for v in r] for r in rows])
+    for i, j in [(0, 0), (0, 1), (63, 64), (5, 429), (64, 128), (127, 300), (428, 429), (429, 429)]:
+        here = ~np.isnan(plain[:, i]) & ~np.isnan(plain[:, j])
+        assert got[f"c{i}", f"c{j}"] == pytest.approx(np.corrcoef(plain[here, i], plain[here, j])[0, 1], abs=1e-9)
+    assert all(got[k] is None for k in got if "c7" in k)
