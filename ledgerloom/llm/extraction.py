@@ -3,14 +3,15 @@
 A page's block elements and its blocks of text are the nodes of a tree; each is main text or not.
 The model has a potential between each parent and child (main text tends to stay inside its
 element) and one between each node and what is seen of it: its tag, the words of its class, id and
-role, and for a block of text its length, the share of it that is links, and its ending.  Sum-product
+role, and for a block of text its length, the share of it that is links, its ending and the class words
+of the elements around it.  Sum-product
 message passing, once from the leaves up and once from the root down, gives the exact marginal of
 every node; blocks whose marginal is at least one half are the main text.
 
 All potentials are frequencies from labelled pages.  Two kinds are counted: labelled pages written
 for this module (``labelled_pages``), which show the parts that pages have, and up to about
 ``LABELLED_ROWS`` rows of the table itself (the documented bound of the sample, picked by a hash of
-the page's id) whose markup says where the article is.  The counts are summed in Spark; what
+the page) whose markup says where the article is.  The counts are summed in Spark; what
 reaches the driver is one row for each tag and class word of that sample.
 
 Markup that never is text (scripts, styles, form controls, the head) is left out beforehand.
@@ -62,7 +63,22 @@ ENDS = {
 }
 #: Where the search for such an element stops.
 _SCOPE = frozenset("html body table ul ol dl td th article section div main nav aside header footer form blockquote".split())
-_CLASS_WORD = re.compile(r"[a-z]+")
+#: Elements that leave the head of a page open; any other element, and text, ends it.
+HEAD = frozenset("html head title base basefont link meta script style noscript template object".split())
+#: Words of class names: runs of letters, cut where a capital follows a small letter.
+_CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: How many named elements around it a block of text is seen with.
+SCOPE = 3
+_COMMENT_NAMES = (
+    "comments comment-list commentlist disqus_thread respond replies responses discussion reader-comments "
+    "user-comments feedback fb-comments commentsSection post-comments"
+).split()
+
+
+def class_words(names: str) -> list[str]:
+    """The distinct words of names, without a plural's ending."""
+    words = [w.lower() for w in _CLASS_WORD.findall(names)]
+    return list(dict.fromkeys(w[:-3] + "y" if w.endswith("ies") and len(w) > 4 else w[:-1] if w.endswith("s") and len(w) > 3 else w for w in words))
 
 
 class Page(HTMLParser):
@@ -71,6 +87,7 @@ class Page(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.parents, self.seen, self.texts, self.labels = [-1], [["tag=#page"]], [None], [0]
+        self.scopes: list[tuple[list[str], ...]] = [()]  # class words of the nearest ``SCOPE`` named elements
         self.open: list[tuple[str, int]] = [("#page", 0)]  # tags, and the node that holds their text
         self.unread = 0
         self.buffer: list[str] = []
@@ -85,9 +102,12 @@ class Page(HTMLParser):
         text = " ".join(raw.split())
         if text:
             n, ratio = len(text.split()), self.linked / max(1, len(raw))
+            scope = self.scopes[self.open[-1][1]]
             self.parents.append(self.open[-1][1])
+            self.scopes.append(scope)
             self.seen.append(
                 [
+                    *dict.fromkeys(f"in={w}" for words in scope for w in words),
                     f"words={min(6, n.bit_length())}",
                     f"linked={0 if ratio < 0.1 else 1 if ratio < 0.6 else 2}",
                     f"stop={int(text[-1] in '.!?:;…')}",
@@ -97,6 +117,11 @@ class Page(HTMLParser):
             self.labels.append(self.labels[self.open[-1][1]])
         self.buffer, self.linked = [], 0
 
+    def end_head(self) -> None:
+        """A head that was never closed ends with the first thing that cannot be in it."""
+        if len(self.open) < 4 and self.open[-1][0] == "head":
+            self.pop_to(len(self.open) - 1)
+
     def pop_to(self, depth: int) -> None:
         """Close the open elements from ``depth`` on."""
         if any(t in BLOCK for t, _ in self.open[depth:]):
@@ -113,8 +138,8 @@ class Page(HTMLParser):
             if tag in BLOCK:
                 self.flush()
             return
-        if tag == "body":
-            self.pop_to(next((i for i, (t, _) in enumerate(self.open) if t == "head"), len(self.open)))
+        if tag not in HEAD:
+            self.end_head()
         closes = ENDS.get(tag, {"p"} if tag in BLOCK else ())
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i][0] in closes:
@@ -126,10 +151,11 @@ class Page(HTMLParser):
         if tag in BLOCK:
             self.flush()
             own = dict(attrs)
-            words = _CLASS_WORD.findall(" ".join(str(own.get(k) or "") for k in ("class", "id", "role")).lower())
+            words = class_words(" ".join(str(own.get(k) or "") for k in ("class", "id", "role")))
             label = own.get("data-main")
             self.parents.append(node)
-            self.seen.append([f"tag={tag}", *[f"class={w}" for w in dict.fromkeys(words)]])
+            self.scopes.append((words, *self.scopes[node][: SCOPE - 1]) if words else self.scopes[node])
+            self.seen.append([f"tag={tag}", *[f"class={w}" for w in words]])
             self.texts.append(None)
             self.labels.append(self.labels[node] if label is None else int(label))
             node = len(self.parents) - 1
@@ -149,6 +175,8 @@ class Page(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if not data.isspace():
+            self.end_head()
         if not self.unread:
             self.buffer.append(data)
             if self.links:
@@ -284,14 +312,28 @@ def labelled_pages() -> list[str]:
         f'<div class="share social tags author meta pagination pager" data-main=0><ul>{links}</ul></div>'
         f'<div class="popup modal overlay disclaimer notice" role=dialog data-main=0><p>{long}</p></div>',
     ]
+    said = f"<p>{mid}</p>", f"<p>{long}</p>", f"<h3>3 comments</h3><div class=comment><b>A reader</b><p>{mid}</p><a href=x>Reply</a></div><p>{long}</p>"
+    comments = []
+    for i, name in enumerate(_COMMENT_NAMES):
+        text = said[i % 3]
+        comments += [
+            f"<div id={name} data-main=0>{text}</div>",
+            f'<section class="{name}" data-main=0>{text}</section>',
+            f'<div class="{name}" data-main=0><ol><li class="comment-body">{text}</li><li>{said[(i + 1) % 3]}</li></ol></div>',
+            f'<div class="{name}" data-main=0>{text}</div><footer data-main=0>Imprint. {mid}</footer>',
+        ]
     pages = [f"<html><body>{a}{m}{e}</body></html>" for a, m, e in product(tops, wraps, ends)]
+    pages += [f"<html><body>{tops[i % 5 - 1] if i % 5 else ''}{m}{c}</body></html>" for i, (c, m) in enumerate(product(comments, wraps))]
+    pages += [f"<html><body><article data-main=1>{article}{c}</article></body></html>" for c in comments]
+    pages += [f'<html><body>{tops[i % 4]}<div class="main content" data-main=1>{article}{c}</div></body></html>' for i, c in enumerate(comments)]
+    pages += [f"<html><body>{m}{e}</body></html>" for m, e in product(wraps, ends)]
     inner = (
         '<div class="ad advert promo" data-main=0><p>Buy now.</p></div><aside data-main=0><p>{0}</p></aside><nav data-main=0><ul>{1}</ul></nav>'
         '<form data-main=0><p>Sign up</p></form><footer data-main=0><p>Filed under news</p></footer>'
         '<div class="comments" data-main=0><p>{0}</p></div><div class="share related" data-main=0><ul>{1}</ul></div>'
     ).format(mid, links)
     pages += [f"<html><body>{a}<article data-main=1>{article}{inner}<p>{long}</p></article>{e}</body></html>" for a, e in product(tops, ends)]
-    pages += [f"<html><body><div data-main=1>{article}</div></body></html>", f"<html><body data-main=1>{article}</body></html>"] * 3
+    pages += [f"<html><body><div data-main=1>{article}</div></body></html>", f"<html><body data-main=1>{article}</body></html>"] * 12
     return pages
 
 
@@ -313,8 +355,10 @@ def count_labelled(df: DataFrame, page_id: str, html: str, rows: int) -> dict[st
         yield pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array(list(found.values()), pa.int64())], ["what", "n"])
 
     share = min(1_000_000, int(1_000_000 * rows / max(1, n)))
-    sample = df.filter(F.col(html).isNotNull() & (F.pmod(F.xxhash64(page_id), F.lit(1_000_000)) < share))
-    counted = sample.select(F.col(html).cast("string")).mapInArrow(count, "what string, n long").groupBy("what").agg(F.sum("n").alias("n"))
+    # The hash is of the whole row, so that it bounds the sample also where ids are null or repeated; equal rows count once.
+    drawn = df.filter(F.col(html).isNotNull()).select(F.xxhash64(page_id, html).alias("drawn"), F.col(html).cast("string").alias("html"))
+    sample = drawn.filter(F.pmod("drawn", F.lit(1_000_000)) < share).dropDuplicates(["drawn"])
+    counted = sample.select("html").mapInArrow(count, "what string, n long").groupBy("what").agg(F.sum("n").alias("n"))
     for r in counted.collect():
         total[r["what"]] += r["n"]
     return dict(total)

@@ -77,3 +77,34 @@ def test_odd_pages(spark):
     assert "reader" not in got[4] and got[4].startswith("A sentence")
     assert "Mail" not in got[None] and "Go" not in got[None]
     assert extraction.extract(df.filter("false")).count() == 0
+
+
+SENTENCE = "A sentence of the article, long enough to be one. "
+WHOLE = f"<p>{SENTENCE * 5}</p><p>{SENTENCE * 3}</p>"
+SAID = "<p>A reader says a thing, and goes on about it.</p>"
+
+
+def test_reader_comments_go():
+    """By many names, with and without an article element, by the pages of the module alone."""
+    total = extraction.Counter()
+    for p in extraction.labelled_pages():
+        total += extraction.page_counts(extraction.Page(p))
+    model = extraction.Model(total)
+    for name in ("comments", "disqus_thread", "replies", "commentlist", "reader-comments", "userComments", "reply-list", "feedback"):
+        for main in (f"<article>{WHOLE}</article>", f"<div class=content>{WHOLE}</div>", f"<div id=main><h2>Title</h2>{WHOLE}</div>"):
+            for said in (f"<div id='{name}'>{SAID}</div>", f"<section class='{name}'><ol><li>{SAID}</li></ol></section>"):
+                text = model.text(f"<html><body>{main}{said}</body></html>")
+                assert "reader" not in text and text.endswith(SENTENCE.strip())
+
+
+def test_pages_without_body_and_long_or_repeated_pages(spark):
+    open_head = f"<html><head><title>T</title><meta charset=utf-8>{WHOLE}"
+    loose = f"<head><title>x</title>Some words that come without any element, long enough to be read as a sentence. {WHOLE}"
+    long = f"<article>{WHOLE * 3000}</article><footer>Imprint</footer>"
+    rows = [(1, open_head), (2, loose), (3, long), (3, long), (None, open_head), (4, f"<body><!-- <head> --><article>{WHOLE}</article></body>")]
+    df = spark.createDataFrame([(i, "u", h, "clash") for i, h in rows], SCHEMA)
+    got = sorted(((r["page_id"], r["text"]) for r in extraction.extract(df).collect()), key=str)
+    texts = dict(got)
+    assert len(got) == 6 and all(SENTENCE.strip() in t for t in texts.values())
+    assert texts[1] == texts[None] and "T" not in texts[1].split("\n")
+    assert texts[3].count("A sentence") == 24_000 and "Imprint" not in texts[3] and got.count((3, texts[3])) == 2
