@@ -83,6 +83,24 @@ TRANSACTIONS = (
 )
 
 
+# A label that can be learned, but not from one column: two waves and their product, noise from the id, and a
+# level of its own where the measure is missing.
+def learnable(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions with such a label."""
+    wave = lambda c, w: F.abs(F.pmod(F.floor(c), F.lit(2 * w)) - w) / w
+    a, b = wave("amount", 100_000), wave("D1", 2_000)
+    noise = F.conv(F.substring(F.md5(F.col("txn_id").cast("string").cast("binary")), 1, 6), 16, 10).cast("bigint") / 16777216
+    chance = F.when(F.col("D2").isNull(), 0.9).otherwise(0.05 + 0.5 * a * b + 0.35 * b)
+    return transactions(spark, folder).withColumn("label", (noise < chance).cast("int"))
+
+
+LEARNABLE = TRANSACTIONS.replace("txn AS (", "plain AS (", 1) + """,
+  txn AS (SELECT * EXCLUDE (label), CASE WHEN CAST('0x' || substr(md5(CAST(txn_id AS VARCHAR)), 1, 6) AS BIGINT) / 16777216 <
+  CASE WHEN D2 IS NULL THEN 0.9::DOUBLE ELSE 0.05::DOUBLE + 0.5::DOUBLE * (abs((CAST(floor(amount) AS BIGINT) % 200000) - 100000) / 100000) *
+  (abs((CAST(floor(D1) AS BIGINT) % 4000 + 4000) % 4000 - 2000) / 2000)
+  + 0.35::DOUBLE * (abs((CAST(floor(D1) AS BIGINT) % 4000 + 4000) % 4000 - 2000) / 2000) END THEN 1 ELSE 0 END AS label FROM plain)"""
+
+
 def events(spark: SparkSession, folder: str) -> DataFrame:
     """Events with a split by time and calendar columns; the time of day is real."""
     e = table(spark, folder, "events")
