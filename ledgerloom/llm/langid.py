@@ -10,8 +10,9 @@ Letters are lower-cased; everything between them counts as one space.  Whole tex
 one in slices whose n-gram counts are added up.
 
 The prototypes are learned from rows whose label is not null, at most about ``TRAINING_ROWS`` of
-them, spread over the table by a hash of the row's id: that is the documented bound of the
-classifier's sample.  Only the sums of a task's vectors leave it (one per language), so what reaches
+them: that is the documented bound of the classifier's sample.  Every label has an equal share of it,
+so a rare language is learned from all its rows; the rows of a frequent one are drawn by a hash of the
+whole row, and equal rows count once, so the bound holds also where ids are null or repeated.  Only the sums of a task's vectors leave it (one per language), so what reaches
 the driver is as large as the number of languages.
 
 Null text, and text without a letter, gives ``und`` with score 0; so does every text if nothing
@@ -138,10 +139,13 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def learn(df: DataFrame, text: str, label: str, row_hash: Column, rows: int = TRAINING_ROWS, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:
     """The prototype of each label.  ``row_hash`` (a 64-bit number) decides which rows are learned from."""
-    labelled = df.filter(F.col(label).isNotNull() & F.col(text).isNotNull())
-    n = labelled.count()
-    if n > rows:
-        labelled = labelled.filter(F.pmod(row_hash, F.lit(1_000_000)) < int(1_000_000 * rows / n))
+    named_rows = df.select(F.col(text).cast("string").alias("text"), F.col(label).cast("string").alias("label"), row_hash.alias("drawn"))
+    labelled = named_rows.filter("label is not null and text is not null")
+    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}  # one row per language
+    if sum(sizes.values()) > rows:
+        shares = [(name, int(1_000_000 * rows / len(sizes) / n)) for name, n in sorted(sizes.items())]
+        share = F.create_map(*[F.lit(x) for pair in shares for x in pair])[F.col("label")]
+        labelled = labelled.filter(F.pmod("drawn", F.lit(1_000_000)) < share).dropDuplicates(["label", "drawn"])
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -158,7 +162,7 @@ def learn(df: DataFrame, text: str, label: str, row_hash: Column, rows: int = TR
             ["label", "total"],
         )
 
-    parts = labelled.select(F.col(text).cast("string"), F.col(label).cast("string")).mapInArrow(sums, "label string, total array<double>")
+    parts = labelled.select("text", "label").mapInArrow(sums, "label string, total array<double>")
     added = (
         parts.select("label", F.posexplode("total").alias("i", "x"))
         .groupBy("label", "i")
@@ -203,7 +207,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn_documents(documents: DataFrame, rows: int = TRAINING_ROWS) -> dict[str, np.ndarray]:
-    return learn(documents.filter(~held_out(F.col("doc_id"))), "text", "lang", F.xxhash64("doc_id"), rows)
+    return learn(documents.filter(~held_out(F.col("doc_id"))), "text", "lang", F.xxhash64("doc_id", "text"), rows)
 
 
 @named("op8_langid")

@@ -255,7 +255,7 @@ WITH w AS (
     {templates}) v(label, text)
 ), notice AS (
   SELECT r, label, len(list_intersect(ls, ts)) / len(ts)::DOUBLE AS c FROM line, template
-  WHERE len(list_intersect(ls, ts)) >= ceil({THRESHOLD} * len(ts) - 1e-9)
+  WHERE len(list_intersect(ls, ts)) >= CASE WHEN len(ts) < {WHOLE} THEN len(ts) ELSE ceil({THRESHOLD} * len(ts) - 1e-9) END
 ), found AS (
   SELECT r, list(DISTINCT label) AS labels, max(c) AS c FROM notice GROUP BY r
 )

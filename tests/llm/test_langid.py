@@ -44,3 +44,49 @@ def test_slices_count_like_the_whole(monkeypatch):
 def test_learning_is_bounded(spark):
     df = spark.range(5000).selectExpr("id as doc_id", "'the cat' as text", "'en' as lang")
     assert abs(np.linalg.norm(langid.learn(df, "text", "lang", langid.F.xxhash64("doc_id"), rows=500)["en"]) - 500) < 100
+
+
+def test_rare_languages_and_repeated_rows(spark):
+    """Every language gets its share of the sample; ids that are null or repeated do not break the bound."""
+    rows = [(None, f"the cat {i}", "en") for i in range(3000)] + [(7, "the same row", "en")] * 3000 + [(1, "кошка и собака", "ru"), (1, "собака", "ru")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.learn_documents(df, rows=200)
+    assert set(found) == {"en", "ru"}
+    assert np.linalg.norm(found["en"]) < 150 and np.linalg.norm(found["ru"]) > 0
+    got = {r["text"]: r["lang_pred"] for r in langid.identify(df, found).collect()}
+    assert got["собака"] == "ru" and got["the cat 5"] == "en"
+
+
+def plain_vector(text, dimensions):
+    """A text's vector, letter by letter."""
+    words = "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in text).split()
+    if not words:
+        return np.zeros(dimensions)
+    padded, counts = f" {' '.join(words)} ", {}
+    for i in range(len(padded) - 2):
+        counts[padded[i : i + 3]] = counts.get(padded[i : i + 3], 0) + 1
+    total = np.zeros(dimensions)
+    for gram, n in counts.items():
+        vector = np.ones(dimensions)
+        for place, c in enumerate(reversed(gram)):  # the last letter is not rotated
+            signs = np.random.default_rng([7, ord(c)]).integers(0, 2, dimensions) * 2 - 1
+            vector = vector * np.concatenate([signs[dimensions - place :], signs[: dimensions - place]])
+        total += np.sqrt(n) * vector
+    return total
+
+
+def test_vectors_prototypes_and_cosines_against_brute_force(spark):
+    texts = [("the cat and the dog, the cat", "en"), ("A dog!", "en"), ("der Hund und die Katze", "de"), ("Straße über ÄÖ", "de"), ("le chat et le chien", None), ("123", None), ("東京 x", None)]
+    df = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(texts)], "doc_id long, text string, lang string")
+    size = 64
+    prototypes = langid.learn(df, "text", "lang", langid.F.xxhash64("doc_id"), dimensions=size)
+    vectors = [plain_vector(t, size) for t, _ in texts]
+    unit = lambda v: v / np.linalg.norm(v) if v.any() else v
+    want = {x: sum(unit(v) for v, (_, lang) in zip(vectors, texts) if lang == x) for x in ("de", "en")}
+    for x in want:
+        assert np.allclose(prototypes[x], want[x], atol=1e-5)
+    for r in langid.identify(df, prototypes, dimensions=size).collect():
+        v = unit(vectors[r["doc_id"]])
+        cosines = {x: float(v @ unit(want[x])) for x in want}
+        best = max(sorted(cosines), key=cosines.get)
+        assert (r["lang_pred"], round(r["score"], 5)) == ((best, round(min(1, max(0, cosines[best])), 5)) if v.any() else ("und", 0.0))

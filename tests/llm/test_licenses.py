@@ -24,7 +24,7 @@ def brute(text):
         own = set(words(line))
         for label, t in licenses.TEMPLATES:
             t = set(t.split())
-            if len(own & t) >= licenses.THRESHOLD * len(t) - 1e-9:
+            if len(own & t) >= (len(t) if len(t) < licenses.WHOLE else licenses.THRESHOLD * len(t) - 1e-9):
                 labels.add(label)
                 score = max(score, len(own & t) / len(t))
     return (len(ws), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), round(score, 9))
@@ -54,6 +54,34 @@ def test_against_brute_force(spark):
     assert sorted(got, key=key) == sorted(map(brute, TEXTS), key=key)
 
 
+NOTICES = [
+    "Released under the Apache License",
+    "Released under the BSD license.",
+    "Licensed under CC BY 4.0",
+    "Licensed under CC BY-NC 4.0",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted.",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+]
+
+
+def test_query_sql_and_brute_force_state_one_rule(spark, tmp_path):
+    """On notices that the given tables do not hold."""
+    import duckdb
+    from oracle import compare
+
+    from ledgerloom.llm.catalog import ORACLES, QUERIES
+
+    texts = NOTICES + [f"Some words.\n{t}\nMore words." for t in NOTICES] + TEXTS
+    spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert compare(spark, con, str(tmp_path), QUERIES["op9_licenses"], ORACLES["op9_licenses"]) is None
+    got = {r["doc_id"]: r["labels"] for r in QUERIES["op9_licenses"](spark, str(tmp_path)).collect()}
+    assert [got[i] for i in range(len(texts))] == [brute(t)[5] for t in texts]
+    assert [got[i] for i in range(5)] == ["apache", "", "", "cc-by-nc", "mpl"]
+
+
 def test_empty_table(spark):
     assert licenses.scan(spark.createDataFrame([], SCHEMA)).count() == 0
 
