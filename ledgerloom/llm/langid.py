@@ -91,12 +91,12 @@ class _Space:
 
     def forget(self) -> None:
         self.at: dict[int, int] = {}
-        self.vectors = np.empty((256, self.dimensions), np.float32)
+        self.vectors = np.empty((256, self.dimensions), np.int8)
 
     def letter(self, code: int) -> np.ndarray:
         if code not in self.letters:
             random = np.random.default_rng([7, code])
-            self.letters[code] = random.integers(0, 2, self.dimensions).astype(np.float32) * 2 - 1
+            self.letters[code] = random.integers(0, 2, self.dimensions).astype(np.int8) * 2 - 1
         return self.letters[code]
 
     def rows(self, codes: np.ndarray) -> np.ndarray:
@@ -106,7 +106,7 @@ class _Space:
                 place = len(self.at)
                 if place == len(self.vectors):
                     self.vectors = np.concatenate([self.vectors, np.empty_like(self.vectors)])
-                vector = np.ones(self.dimensions, np.float32)
+                vector = np.ones(self.dimensions, np.int8)
                 for i in range(GRAM):
                     vector *= np.roll(self.letter((code >> (21 * i)) & 0x1FFFFF), i)
                 self.vectors[place] = vector
@@ -124,7 +124,10 @@ class _Space:
         for i, (codes, counts) in enumerate(found):
             weights[i, np.searchsorted(every, codes)] = np.sqrt(counts)
         places = self.rows(every)  # may move the vectors
-        return weights @ self.vectors[places]
+        total = np.zeros((len(texts), self.dimensions), np.float32)
+        for lo in range(0, len(places), 4096):
+            total += weights[:, lo : lo + 4096] @ self.vectors[places[lo : lo + 4096]].astype(np.float32)
+        return total
 
 
 @lru_cache(maxsize=1)
