@@ -221,14 +221,16 @@ def _modes(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> dict[tuple[str,
     """Most frequent last member of each key set per the members before it.
 
     Counts and modes of the sets of a pass come from one plan: count per (key, value), then the
-    maximum per key, stored once.
+    maximum per key, stored once.  Values of different types go in passes of their own, so that a
+    mode has its column's type.
     """
     found: dict[tuple[str, ...], Sized] = {}
-    for sets in passes(key_sets):
+    by_kind: dict[str, list[Sequence[str]]] = {}
+    for s in key_sets:
+        by_kind.setdefault(df.schema[s[-1]].dataType.simpleString(), []).append(s)
+    for kind, sets in [(kind, sets) for kind, same in by_kind.items() for sets in passes(same)]:
         counts, ids = combine_sets(df, sets, [F.count(F.lit(1)).alias("n")])
         keys = list(dict.fromkeys(c for s in sets for c in s[:-1]))
-        kinds = {df.schema[s[-1]].dataType.simpleString() for s in sets}
-        kind = kinds.pop() if len(kinds) == 1 else "double"
         value = F.coalesce(*[F.when(F.col("__set") == ids[s], F.col(s[-1]).cast(kind)) for s in sets])
         modes = most_frequent(counts.withColumn("__value", value), ["__set", *keys], "__value")
         found |= stage_sets(modes, ids, ["n", "mode"], keys=lambda s: s[:-1])

@@ -143,3 +143,17 @@ def test_partitioning_does_not_matter(spark):
     a, b = make(df.coalesce(1)), make(df.orderBy(F.desc("x")).repartition(9))
     close = zip(rows_of(a, "id"), rows_of(b, "id"))
     assert all(p == pytest.approx(q) for x, y in close for p, q in zip(x, y) if isinstance(p, float))
+
+
+def test_modes_keep_the_type_of_their_column(spark):
+    """Integers beyond 2^53 and dates in one call."""
+    import datetime
+
+    from ledgerloom.operators.groupstats import _modes
+
+    big, day = 2**60 + 1, datetime.date(2020, 1, 2)
+    rows = [("train", "k", 1, big, day), ("train", "k", 1, big, day), ("train", "k", 1, 5, datetime.date(2021, 1, 1))]
+    df = spark.createDataFrame(rows, "split string, key string, month int, position bigint, seen date")
+    sets = [("split", "key", "month", "position"), ("split", "key", "month", "seen")]
+    found = _modes(df, sets)
+    assert [found[s].df.first()["mode"] for s in sets] == [big, day]
