@@ -65,3 +65,48 @@ def test_write(spark, tmp_path):
     chat.write_chats(chat.link(df), str(tmp_path / "chats"))
     got = [r["chat"] for r in spark.read.parquet(str(tmp_path / "chats")).orderBy("conv_id", "path").collect()]
     assert got == ["<|user|>\na", "<|assistant|>\nb"]
+
+
+QUOTES = [
+    (1, 1, "u", "Yes"),
+    (1, 2, "u", "Thanks"),
+    (1, 5, "u", "Yes\nThanks"),
+    (1, 6, "u", "> Yes\n> Thanks\nwelcome"),
+    (2, 0, "u", "A long sentence that a mailer will break over lines. Another one here!\nA third."),
+    (2, 1, "u", "> A long sentence that a mailer\n> will break over lines.\n> Another\n> one here!\nyes"),
+    (2, 2, "u", "A third."),
+    (2, 3, "u", "> A third.\nlatest"),
+    (2, 4, "u", "> Another one here! A third.\nrun of two"),
+    (2, 5, "u", "> A long sentence that a mailer will break over lines. Another one here! Changed.\ncut"),
+    (2, 6, "u", "> a mailer will break\nneither line nor sentence"),
+    (2, 7, "u", ">> A third.\n> latest\n\n> cut\ntwo passages"),
+    (None, -70, "u", "old words"),
+    (None, 200, "u", "> old words\nfar off"),
+    (None, 5000, "u", "> far off\n>\n> nobody said\nfurther"),
+    (None, 9000, "u", "> old words\nfurthest"),
+    (None, None, "u", "> old words\nno turn"),
+    (3, 0, None, None),
+    (3, 1, "u", ""),
+    (3, 2, "u", "> \n>\nblank quotes"),
+]
+
+
+def test_passages(spark):
+    got = {k: r["parent_turn"] for k, r in messages(spark, QUOTES).items()}
+    want = {(1, 6): 5, (2, 1): 0, (2, 3): 2, (2, 4): 0, (2, 5): 0, (2, 7): 5, (None, 200): -70, (None, 5000): 200, (None, 9000): -70}
+    assert {k: v for k, v in got.items() if v is not None} == want
+
+
+def test_sql_on_quotes(spark, tmp_path):
+    import duckdb
+
+    rows = QUOTES + [(9, 10 * i, "u", f"> common line\n> line {i // 2}. And. More\n> of it {i % 3}\ncommon line\nline {i}. And. More of it 1.") for i in range(30)]
+    rows += [(8, i, "u", "".join(f"> word {j}.\n" for j in range(i, i + 300)) + "".join(f"word {j}.\n" for j in range(1500))) for i in range(2)]
+    folder = str(tmp_path)
+    spark.createDataFrame([(*x, "clash") for x in rows], SCHEMA).write.parquet(f"{folder}/conversations.parquet")
+    df = chat.op4_chat(spark, folder)
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{folder}/conversations.parquet/*.parquet'")
+    want = con.execute(f"select {', '.join(df.columns)} from ({chat._SQL})").fetchall()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in df.collect())
+    assert sum(r[4] is not None for r in want) > 30
