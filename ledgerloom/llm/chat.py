@@ -96,6 +96,11 @@ def _runs(texts: Column) -> Column:
     return F.when(F.size(texts) < 2, one).otherwise(F.aggregate(F.sequence(F.lit(0), doublings - 1), one, double))
 
 
+def _conversation() -> dict[str, Column]:
+    """A conversation as a key, also where it is null."""
+    return {"none": F.col("conv_id").isNull(), "conv": F.coalesce(F.col("conv_id").cast("string"), F.lit(""))}
+
+
 def passages(messages: DataFrame) -> DataFrame:
     """message, conv_id, turn, passage (its place), level, body (normalised lines) of every passage."""
     n = F.size("lines")
@@ -130,17 +135,11 @@ def units(found: DataFrame) -> DataFrame:
     )
     more = F.transform(F.array_append("paragraphs", F.col("whole_text")), lambda x: F.md5(x))
     levels = F.transform(both, lambda hashes, k: F.when(k == 0, F.array_union(hashes, more)).otherwise(F.array_distinct(hashes)))
-    place = [
-        "message",
-        "turn",
-        "passage",
-        "level",
-        F.col("conv_id").isNull().alias("none"),
-        F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"),
-    ]
+    place = ["message", "turn", "passage", "level", *[c.alias(name) for name, c in _conversation().items()]]
     run = texts.select(*place, F.md5("whole_text").alias("whole_hash"), F.posexplode(levels).alias("run", "hashes"))
     each = run.select("*", F.explode("hashes").alias("hash"))
-    return each.withColumn("whole", (F.col("run") == 0) & (F.col("hash") == F.col("whole_hash"))).drop("hashes", "whole_hash")
+    whole = (F.col("run") == 0) & (F.col("hash") == F.col("whole_hash"))
+    return each.withColumns({"whole": whole, "hash": F.unhex("hash")}).drop("hashes", "whole_hash")
 
 
 def latest_before(asked: DataFrame, said: DataFrame) -> DataFrame:
@@ -179,9 +178,12 @@ def link(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", role:
     """conv_id, turn, role, text (without quotes), parent_turn, root_turn, depth, path, n_quoted
     (quoted lines), n_passages (quoted passages) and n_linked (those found in an earlier message)."""
     messages = stage(parsed(df, conversation, turn, role, text))
-    hashed = stage(units(passages(messages).filter("turn is not null")).withColumn("turn", F.col("turn").cast("bigint")))
-    quoted = hashed.filter("level > 0")
-    found = stage(quoted.join(latest_before(quoted, hashed.filter("level = 0")), [*KEY, "turn"]))
+    timed = passages(messages.filter("turn is not null").withColumn("turn", F.col("turn").cast("bigint")))
+    quoted = stage(units(timed.filter("level > 0")))
+    # Only conversations that quote something are looked into.
+    quoting = quoted.select("none", "conv").distinct()
+    said = units(timed.filter("level = 0").withColumns(_conversation()).join(quoting, ["none", "conv"], "left_semi"))
+    found = stage(quoted.join(latest_before(quoted, said), [*KEY, "turn"]))
     votes = found.groupBy("message", "level", "whole", "run", "original").agg(F.count(F.lit(1)).alias("n"))
     best = votes.groupBy("message").agg(F.max(F.struct((-F.col("level")).alias("near"), "whole", "run", "n", "original")).alias("best"))
     linked = found.select("message", "passage").distinct().groupBy("message").agg(F.count(F.lit(1)).alias("n_linked"))
