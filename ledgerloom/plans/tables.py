@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import output_path
+from ..sources import infer
 from ..sources import tables as io
 from . import roles
 from .registry import R, named, r
@@ -27,6 +28,57 @@ def src_csv(spark, d):
     return back.withColumn("day", F.date_format("o_orderdate", "yyyy-MM-dd")).drop("o_orderdate")
 
 
+# Columns of two CSV files, with the text each holds in SQL; the label is in the first file only.
+_UNTYPED = {
+    "id": "o_orderkey",
+    "client": "o_custkey",
+    "small": "o_custkey % 250 - 122",
+    "price": "o_totalprice",
+    "status": "nullif(o_orderstatus, 'P')",
+    "mostly_int": "CASE WHEN o_orderkey % 1000 = 999 THEN 'none' ELSE CAST(o_custkey AS STRING) END",
+    "half": "CASE WHEN o_orderkey % 1000 = 998 THEN '0.5' WHEN o_orderkey % 3 <> 0 THEN CAST(o_custkey AS STRING) END",
+    "nothing": "CAST(NULL AS STRING)",
+    "label": "o_custkey % 2",
+}
+
+
+def _inferred(spark, d):
+    """Half of the orders in each of two files, without types, read back."""
+    o = roles.table(spark, d, "orders")
+    halves = [o.filter(f"o_orderkey % 2 = {i}").selectExpr(*[f"{x} AS {c}" for c, x in _UNTYPED.items()]) for i in (0, 1)]
+    paths = [io.write_csv(h, output_path(spark)) for h in (halves[0], halves[1].drop("label"))]
+    return infer.read_csv_inferred(spark, *paths)
+
+
+@named(
+    "src_csv_inferred",
+    "SELECT "
+    + ", ".join(f"{x.replace('STRING', 'VARCHAR')} AS {c}" for c, x in _UNTYPED.items() if c not in ("half", "nothing", "label"))
+    + """, CAST(CASE WHEN o_orderkey % 1000 = 998 THEN 0.5 WHEN o_orderkey % 3 <> 0 THEN o_custkey END AS DOUBLE) AS half,
+  CAST(NULL AS DOUBLE) AS nothing, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey % 2 END AS label FROM orders""",
+)
+def src_csv_inferred(spark, d):
+    first, second = _inferred(spark, d)
+    return first.unionByName(second, allowMissingColumns=True)
+
+
+def _integer_sql(c: str, x: str) -> str:
+    bounds = " ".join(f"WHEN min({x}) >= -{2**b} AND max({x}) < {2**b} THEN '{t}'" for t, b in (("tinyint", 7), ("smallint", 15), ("int", 31)))
+    return f"SELECT '{c}' AS name, CASE {bounds} ELSE 'bigint' END AS type FROM orders"
+
+
+@named(
+    "src_csv_types",
+    " UNION ALL ".join(_integer_sql(c, x) for c, x in _UNTYPED.items() if c in ("id", "client", "small", "label"))
+    + " UNION ALL SELECT * FROM (VALUES ('price', 'double'), ('status', 'string'), ('nothing', 'double')) v(name, type)"
+    + " UNION ALL SELECT 'mostly_int', CASE WHEN count(*) FILTER (o_orderkey % 1000 = 999) > 0 THEN 'string' END FROM orders"
+    + " UNION ALL SELECT 'half', CASE WHEN count(*) FILTER (o_orderkey % 1000 = 998) > 0 THEN 'double' END FROM orders",
+)
+def src_csv_types(spark, d):
+    first, _ = _inferred(spark, d)
+    return spark.createDataFrame(first.dtypes, "name string, type string")
+
+
 @named("src_stage", f"WITH {roles.TRANSACTIONS} SELECT txn_id, card1, amount, card5, D2, label, split, DT_M FROM txn")
 def src_stage(spark, d):
     t = roles.transactions(spark, d)
