@@ -1,20 +1,25 @@
 """License scans: an exact set-similarity join of text blocks with notice templates, native only.
 
-A block is a line.  A block carries a notice when at least ``threshold`` of the distinct words of
-one of its templates occur in it (containment); a template of fewer than ``WHOLE`` words must occur
-whole, since its few distinguishing words may be the missing ones.  The join is exact and filtered:
+Blocks are overlapping windows of words, so a notice may be wrapped over lines, indented or set behind
+comment signs, and its words cannot lie scattered over a long text.  A text is cut into chunks of ``CHUNK``
+words; a template of ``n`` words is looked for in windows of ``2 * ceil(n / CHUNK)`` chunks, one starting
+every ``ceil(n / CHUNK)`` chunks, so that every run of ``n`` words lies whole in one of them.
 
-* **order**: template words are ordered by the number of blocks of the whole corpus that hold them,
+A block carries a notice when at least ``threshold`` of the distinct words of one of its templates
+occur in it (containment); a template of fewer than ``WHOLE`` words must occur whole, since its few
+distinguishing words may be the missing ones.  The join is exact and filtered:
+
+* **order**: template words are ordered by the number of chunks of the whole corpus that hold them,
   rarest first;
 * **prefix**: a block that contains ``need`` of a template's ``n`` words must hold one of its
   ``n - need + 1`` rarest, so only those words are looked up;
-* **length**: blocks with fewer than ``need`` distinct words are out;
+* **length**: blocks with fewer than ``need`` distinct template words are out;
 * **position**: with a common word at place ``i`` of the template and place ``j`` among the block's
   template words, at most ``min(n - i, m - j)`` words can be common if it is the first one, so the
   pair is out where that is below ``need``;
 * what is left is verified by intersecting the full sets.
 
-One pass over the texts keeps, per block, only the template words it holds; frequencies, lookup and
+One pass over the texts keeps, per chunk, only the template words it holds; frequencies, lookup and
 verification run on that narrow table.  Its rows are never shuffled by word: the prefix table is as
 large as the templates, so it is sent to the tasks, and a notice that a third of all documents
 carry makes no hot key.
@@ -63,6 +68,8 @@ TEMPLATES = (
 THRESHOLD = 0.8
 #: Templates of fewer distinct words must be contained whole.
 WHOLE = 10
+#: Words of a chunk; windows are made of chunks.
+CHUNK = 12
 # A word of the lower-cased text, and the same class before lower-casing.
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 _ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
@@ -98,9 +105,10 @@ def scan(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Per document: n_words, n_base, first_word, last_word, base_labels, labels, score, and
-    ``notices``: block number, label and containment of every block that carries a template."""
+    ``notices``: first word of the window, label and containment of every template found."""
     spark = df.sparkSession
     words = [sorted(set(t.split())) for _, t in templates]
+    spans = [_chunks(t) for _, t in templates]
     vocabulary = sorted({w for t in words for w in t})
 
     lowered = df.select(
@@ -113,23 +121,23 @@ def scan(
     counts = [F.regexp_count("text", F.lit(_pattern(p))).cast("bigint") for p, _ in phrases]
     head = F.regexp_extract("text", rf"(?s)^(.*?)(?:{any_phrase})", 1)
     tail = F.array_max(F.array(*[_last_start(p) for p, _ in phrases]))
-    has = F.col("text").rlike(any_phrase)
-    lines = F.transform(F.split("text", "\n"), lambda line: F.regexp_extract_all(line, F.lit(f"({_WORD}+)"), F.lit(1)))
-    known = F.array(*[F.lit(w) for w in vocabulary])
-
-    def kept(line: Column, at: Column) -> Column:
-        hits = F.array_intersect(line, known)
-        return F.struct(at.alias("block"), F.size(F.array_distinct(line)).alias("n"), hits.alias("hits"))
-
+    # A text without the last word of a phrase has no place of it, which is cheaper to see.
+    ends = F.lit(False)
+    for last in sorted({p.split()[-1] for p, _ in phrases}):
+        ends = ends | F.col("text").contains(last)
+    has = ends & F.col("text").rlike(any_phrase)
     read = lowered.select(
         "row",
         "doc_id",
         F.when(has, F.array(*counts)).alias("counts"),
         F.when(has, _words_in(head)).alias("first_word"),
         F.when(has, tail).alias("last_word"),
-        lines.alias("lines"),
+        F.regexp_extract_all("text", F.lit(_WORD + "+"), F.lit(0)).alias("words"),
     )
-    least = min(_need(len(t), threshold) for t in words)
+
+    def known(at: Column) -> Column:
+        return F.array_distinct(F.filter(F.slice("words", at * CHUNK + 1, CHUNK), lambda w: w.isin(vocabulary)))
+
     documents = stage(
         read.select(
             "row",
@@ -137,34 +145,44 @@ def scan(
             "counts",
             "first_word",
             "last_word",
-            F.aggregate("lines", F.lit(0).cast("bigint"), lambda n, x: n + F.size(x)).alias("n_words"),
-            F.transform("lines", kept).alias("blocks"),
+            F.size("words").cast("bigint").alias("n_words"),
+            F.transform(_range(F.ceil(F.size("words") / CHUNK)), known).alias("chunks"),
         )
     )
 
-    # Corpus frequency of the template words, in blocks.
-    block = documents.select("row", F.explode("blocks").alias("b")).select("row", "b.*")
-    frequency = block.select(F.explode("hits").alias("word")).groupBy("word").count()
+    # Corpus frequency of the template words, in chunks.
+    frequency = documents.select(F.explode(F.flatten("chunks")).alias("word")).groupBy("word").count()
     found = {r["word"]: r["count"] for r in frequency.collect()}  # at most one row per template word
     order = sorted(vocabulary, key=lambda w: (found.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
 
     entries, sets = [], []
-    for number, ((label, _), own) in enumerate(zip(templates, words, strict=True)):
+    for number, ((label, _), own, span) in enumerate(zip(templates, words, spans, strict=True)):
         own = sorted(rank[w] for w in own)
         need = _need(len(own), threshold)
         sets.append((number, label, own, need))
-        entries += [(r, number, i, len(own), need) for i, r in enumerate(own[: len(own) - need + 1])]
+        entries += [(r, span, number, i, len(own), need) for i, r in enumerate(own[: len(own) - need + 1])]
+    prefix = _values(spark, entries, "rank int, span int, template int, i int, n_template int, need int")
+
+    # The windows of one span, and of them those that hold a prefix word and enough words.
+    block = documents.select("row", "chunks", F.explode(F.array(*[F.lit(s) for s in sorted(set(spans))])).alias("span"))
+    block = block.select("row", "chunks", "span", F.explode(_range(F.ceil(F.size("chunks") / F.col("span")))).alias("at"))
+    hits = F.array_distinct(F.flatten(F.slice("chunks", F.col("at") * F.col("span") + 1, F.col("span") * 2)))
+    block = block.select("row", "span", (F.col("at") * F.col("span") * CHUNK).alias("block"), hits.alias("hits"))
+    worth = F.lit(False)
+    for span in sorted(set(spans)):
+        rare = [order[r] for r, s, *_ in entries if s == span]
+        least = min(_need(len(t), threshold) for t, s in zip(words, spans, strict=True) if s == span)
+        worth = worth | ((F.col("span") == span) & (F.size("hits") >= least) & F.exists("hits", lambda w: w.isin(rare)))
     ranks = F.create_map(*[x for w in vocabulary for x in (F.lit(w), F.lit(rank[w]))])
-    prefix = _values(spark, entries, "rank int, template int, i int, n_template int, need int")
+    prefix = _values(spark, entries, "rank int, span int, template int, i int, n_template int, need int")
 
-    ranked = block.filter((F.size("hits") > 0) & (F.col("n") >= least)).select(
-        "row", "block", "n", F.array_sort(F.transform("hits", lambda w: F.get(F.map_values(ranks), F.array_position(F.map_keys(ranks), w).cast("int") - 1))).alias("ranks")
+    ranked = block.filter(worth).select(
+        "row", "span", "block", F.array_sort(F.transform("hits", lambda w: F.get(F.map_values(ranks), F.array_position(F.map_keys(ranks), w).cast("int") - 1))).alias("ranks")
     )
     candidates = (
-        ranked.select("row", "block", "n", "ranks", F.posexplode("ranks").alias("j", "rank"))
-        .join(F.broadcast(prefix), "rank")
-        .filter(F.col("n") >= F.col("need"))
+        ranked.select("row", "span", "block", "ranks", F.posexplode("ranks").alias("j", "rank"))
+        .join(F.broadcast(prefix), ["rank", "span"])
         .filter(F.least(F.col("n_template") - F.col("i"), F.size("ranks") - F.col("j")) >= F.col("need"))
         .select("row", "block", "ranks", "template")
     )
@@ -211,6 +229,16 @@ def _need(n: int, threshold: float) -> int:
     return n if n < WHOLE else max(1, math.ceil(threshold * n - 1e-9))
 
 
+def _chunks(template: str) -> int:
+    """How many chunks a template's words fill, repeated ones too."""
+    return -(-len(template.split()) // CHUNK)
+
+
+def _range(n: Column) -> Column:
+    """0 ... n - 1, empty where n is 0."""
+    return F.when(n > 0, F.sequence(F.lit(0), n.cast("int") - 1)).otherwise(F.expr("cast(array() as array<int>)"))
+
+
 def _last_start(phrase: str) -> Column:
     """Number of words before the last place of the phrase, null without one."""
     before = F.regexp_extract("text", rf"(?s)^(.*){_pattern(phrase)}", 1)
@@ -231,12 +259,11 @@ def _values(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
 def _sql() -> str:
     word, gap = _WORD + "+", _gap()
     # The engine of the check has no look-around: words are joined by single spaces instead.
-    templates = ",\n    ".join(f"('{label}', '{text}')" for label, text in TEMPLATES)
+    templates = ",\n    ".join(f"('{label}', '{text}', {_chunks(text)})" for label, text in TEMPLATES)
     return rf"""
 WITH w AS (
   SELECT doc_id, row_number() OVER () AS r,
-         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{word}') AS ws,
-         translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{word}') AS ws
   FROM documents
 ), hit AS (
   SELECT r, i,
@@ -247,14 +274,16 @@ WITH w AS (
 ), base AS (
   SELECT r, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, list(DISTINCT label) AS labels
   FROM hit WHERE label IS NOT NULL GROUP BY r
-), line AS (
-  SELECT DISTINCT r, list_distinct(regexp_extract_all(l, '{word}')) AS ls
-  FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM w)
 ), template AS (
-  SELECT label, list_distinct(string_split(text, ' ')) AS ts FROM (VALUES
-    {templates}) v(label, text)
+  SELECT label, list_distinct(string_split(text, ' ')) AS ts, span * {CHUNK} AS size FROM (VALUES
+    {templates}) v(label, text, span)
+), size AS (
+  SELECT DISTINCT size FROM template
+), block AS (
+  SELECT r, size, list_distinct(ws[b * size + 1:(b + 2) * size]) AS ls
+  FROM (SELECT r, ws, size, unnest(range(0, ((len(ws) + size - 1) // size)::BIGINT)) AS b FROM w, size)
 ), notice AS (
-  SELECT r, label, len(list_intersect(ls, ts)) / len(ts)::DOUBLE AS c FROM line, template
+  SELECT r, label, len(list_intersect(ls, ts)) / len(ts)::DOUBLE AS c FROM block JOIN template USING (size)
   WHERE len(list_intersect(ls, ts)) >= CASE WHEN len(ts) < {WHOLE} THEN len(ts) ELSE ceil({THRESHOLD} * len(ts) - 1e-9) END
 ), found AS (
   SELECT r, list(DISTINCT label) AS labels, max(c) AS c FROM notice GROUP BY r

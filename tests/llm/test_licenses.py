@@ -20,10 +20,11 @@ def brute(text):
                 base.add(label)
                 places.append(i)
     labels, score = set(base), 1.0 if base else 0.0
-    for line in (text or "").split("\n"):
-        own = set(words(line))
-        for label, t in licenses.TEMPLATES:
-            t = set(t.split())
+    for label, t in licenses.TEMPLATES:
+        size = -(-len(t.split()) // licenses.CHUNK) * licenses.CHUNK
+        t = set(t.split())
+        for at in range(0, len(ws), size):
+            own = set(ws[at : at + 2 * size])
             if len(own & t) >= (len(t) if len(t) < licenses.WHOLE else licenses.THRESHOLD * len(t) - 1e-9):
                 labels.add(label)
                 score = max(score, len(own & t) / len(t))
@@ -82,6 +83,48 @@ def test_query_sql_and_brute_force_state_one_rule(spark, tmp_path):
     assert [got[i] for i in range(5)] == ["apache", "", "", "cc-by-nc", "mpl"]
 
 
+#: Notices as they stand in files: wrapped, behind comment signs, far into the text.
+WRAPPED = {
+    """# Permission is hereby granted, free of charge, to any person obtaining a copy
+# of this software and associated documentation files (the "Software"), to deal
+# in the Software without restriction, including without limitation the rights
+# to use, copy, modify, merge, publish, distribute, sublicense""": "mit",
+    """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:""": "bsd",
+    """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at http://mozilla.org/MPL/2.0/. */""": "mpl",
+    """// Licensed under the Apache License, Version 2.0 (the "License");
+// you may not use this file except in compliance with the License.""": "apache",
+    """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or""": "gpl",
+    """Released
+under the MIT
+License""": "mit",
+    # The words are there, but too far from each other.
+    "released " + "x " * 30 + "under " + "x " * 30 + "the " + "x " * 30 + "mit " + "x " * 30 + "license": "",
+    "The committee released its findings in spring. All work under review is the property of its authors.": "",
+}
+
+
+def test_wrapped_notices(spark, tmp_path):
+    """A notice is found wherever it starts, in the operator, the SQL and brute force alike."""
+    import duckdb
+    from oracle import compare
+
+    from ledgerloom.llm.catalog import ORACLES, QUERIES
+
+    texts = [("word " * before + t + " more" * 50, label) for t, label in WRAPPED.items() for before in (0, 7, 35, 1000)]
+    spark.createDataFrame([(i, t, "x", "y") for i, (t, _) in enumerate(texts)], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert compare(spark, con, str(tmp_path), QUERIES["op9_licenses"], ORACLES["op9_licenses"]) is None
+    got = {r["doc_id"]: r["labels"] for r in QUERIES["op9_licenses"](spark, str(tmp_path)).collect()}
+    assert [got[i] for i in range(len(texts))] == [label for _, label in texts] == [brute(t)[5] for t, _ in texts]
+
+
 def test_empty_table(spark):
     assert licenses.scan(spark.createDataFrame([], SCHEMA)).count() == 0
 
