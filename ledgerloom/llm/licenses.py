@@ -164,20 +164,25 @@ def scan(
         entries += [(r, span, number, i, len(own), need) for i, r in enumerate(own[: len(own) - need + 1])]
     prefix = _values(spark, entries, "rank int, span int, template int, i int, n_template int, need int")
 
-    # The windows of one span, and of them those that hold a prefix word and enough words.
-    block = documents.select("row", "chunks", F.explode(F.array(*[F.lit(s) for s in sorted(set(spans))])).alias("span"))
-    block = block.select("row", "chunks", "span", F.explode(_range(F.ceil(F.size("chunks") / F.col("span")))).alias("at"))
-    hits = F.array_distinct(F.flatten(F.slice("chunks", F.col("at") * F.col("span") + 1, F.col("span") * 2)))
-    block = block.select("row", "span", (F.col("at") * F.col("span") * CHUNK).alias("block"), hits.alias("hits"))
-    worth = F.lit(False)
-    for span in sorted(set(spans)):
+    # Windows with enough words and one of the prefix; most documents hold no prefix word at all.
+    def windows(span: int) -> Column:
         rare = [order[r] for r, s, *_ in entries if s == span]
         least = min(_need(len(t), threshold) for t, s in zip(words, spans, strict=True) if s == span)
-        worth = worth | ((F.col("span") == span) & (F.size("hits") >= least) & F.exists("hits", lambda w: w.isin(rare)))
+
+        def window(at: Column) -> Column:
+            hits = F.array_distinct(F.flatten(F.slice("chunks", at * span + 1, 2 * span)))
+            return F.struct(F.lit(span).alias("span"), (at * span * CHUNK).alias("block"), hits.alias("hits"))
+
+        every = F.transform(_range(F.ceil(F.size("chunks") / span)), window)
+        return F.filter(every, lambda x: (F.size(x["hits"]) >= least) & F.exists(x["hits"], lambda w: w.isin(rare)))
+
+    prefixes = sorted({order[r] for r, *_ in entries})
+    block = documents.filter(F.exists("chunks", lambda c: F.exists(c, lambda w: w.isin(prefixes))))
+    block = block.select("row", F.inline(F.concat(*[windows(s) for s in sorted(set(spans))])))
     ranks = F.create_map(*[x for w in vocabulary for x in (F.lit(w), F.lit(rank[w]))])
     prefix = _values(spark, entries, "rank int, span int, template int, i int, n_template int, need int")
 
-    ranked = block.filter(worth).select(
+    ranked = block.select(
         "row", "span", "block", F.array_sort(F.transform("hits", lambda w: F.get(F.map_values(ranks), F.array_position(F.map_keys(ranks), w).cast("int") - 1))).alias("ranks")
     )
     candidates = (
