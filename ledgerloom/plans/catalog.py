@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import encoders, evaluation, functions, incremental, joins, profiling, rows, sets, statistics, tables  # noqa: F401
+from . import calendar, encoders, evaluation, functions, incremental, joins, profiling, rows, sets, statistics, tables  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
