@@ -127,6 +127,24 @@ def test_patience_finds_the_best_number_of_trees(noisy):
     assert modeling.train_gbt(noisy, label="y", valid_flag="valid", params=params).getNumTrees <= n
 
 
+def test_the_best_model_is_cut_off_the_trained_one(noisy, monkeypatch):
+    trained = []
+
+    class Counted(modeling.GBTClassifier):
+        def fit(self, *args):
+            model = super().fit(*args)
+            trained.append(model.getNumTrees)
+            return model
+
+    monkeypatch.setattr(modeling, "GBTClassifier", Counted)
+    params = {"maxIter": 30, "maxDepth": 3, "stepSize": 0.3}
+    model = modeling.train_gbt(noisy, label="y", valid_flag="valid", params=params, patience=15)
+    assert trained == [30] and 1 < model.getNumTrees < 30
+    alone = modeling.train_gbt(noisy.filter("not valid"), label="y", params={**params, "maxIter": model.getNumTrees})
+    scores = [[tuple(r) for r in modeling.score_rows(m, noisy, keep=["y"]).collect()] for m in (model, alone)]
+    assert scores[0] == scores[1] and model.featureImportances == alone.featureImportances
+
+
 def test_halving_is_never_below_the_first_budget(noisy):
     options = dict(label="y", valid_flag="valid", bounds={"maxDepth": (1, 4), "stepSize": (0.05, 0.5)}, integers=["maxDepth"], init_points=2, n_iter=2)
     first = modeling.param_search(noisy, **options, budgets=(3,)).collect()
