@@ -145,6 +145,32 @@ def test_the_best_model_is_cut_off_the_trained_one(noisy, monkeypatch):
     assert scores[0] == scores[1] and model.featureImportances == alone.featureImportances
 
 
+def test_fold_models_share_the_cores(spark, noisy, monkeypatch):
+    seen = []
+
+    class Counted(modeling.GBTClassifier):
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count()))
+            return super().fit(rows)
+
+    monkeypatch.setattr(modeling, "GBTClassifier", Counted)
+    data = noisy.withColumn("fold", F.col("valid").cast("int")).repartition(16)
+    n = [data.filter(F.col("fold") != f).count() for f in range(2)]
+    options = dict(label="y", k=2, params={"maxIter": 2, "maxDepth": 2}, patience=2)
+    models = modeling.cross_validate(data, **options)
+    cores = spark.sparkContext.defaultParallelism
+    assert modeling.stage(data).df.rdd.getNumPartitions() > cores // 2
+    assert [t for t, _ in seen] == [cores // 2] * 2 and sorted(r for _, r in seen) == sorted(n)
+    seen.clear()
+    monkeypatch.setattr(modeling, "TRAIN_ROWS_PER_TASK", 10)  # more rows, more tasks
+    wide = modeling.cross_validate(data, **options)
+    assert min(t for t, _ in seen) > cores // 2 and sorted(r for _, r in seen) == sorted(n)
+    # The shares of importance are not compared: the sentinel and the entry for missing values tie.
+    for few, many in zip(models, wide):
+        scores = [[r["score"] for r in modeling.score_rows(m, noisy, keep=[]).collect()] for m in (few, many)]
+        assert scores[0] == pytest.approx(scores[1])
+
+
 def test_halving_is_never_below_the_first_budget(noisy):
     options = dict(label="y", valid_flag="valid", bounds={"maxDepth": (1, 4), "stepSize": (0.05, 0.5)}, integers=["maxDepth"], init_points=2, n_iter=2)
     first = modeling.param_search(noisy, **options, budgets=(3,)).collect()
