@@ -145,6 +145,30 @@ def test_the_best_model_is_cut_off_the_trained_one(noisy, monkeypatch):
     assert scores[0] == scores[1] and model.featureImportances == alone.featureImportances
 
 
+def test_many_rows_are_trained_without_a_first_try(noisy, monkeypatch):
+    trained = []
+
+    class Counted(modeling.GBTClassifier):
+        def fit(self, *args):
+            model = super().fit(*args)
+            trained.append(model.getNumTrees)
+            return model
+
+    monkeypatch.setattr(modeling, "GBTClassifier", Counted)
+    monkeypatch.setattr(modeling, "FIRST_TREES", 2)
+    options = dict(label="y", valid_flag="valid", params={"maxIter": 25, "maxDepth": 3, "stepSize": 0.1}, patience=3)
+    rows = noisy.filter("not valid").count()
+    monkeypatch.setattr(modeling, "LONG_ROWS", rows + 1, raising=False)
+    few = modeling.train_gbt(noisy, **options)
+    assert trained[:2] == [4, 20]  # too short at first
+    trained.clear()
+    monkeypatch.setattr(modeling, "LONG_ROWS", rows)
+    many = modeling.train_gbt(noisy, **options)
+    assert trained == [25] and many.getNumTrees == few.getNumTrees
+    scores = [[tuple(r) for r in modeling.score_rows(m, noisy, keep=["y"]).collect()] for m in (few, many)]
+    assert scores[0] == scores[1] and few.featureImportances == many.featureImportances
+
+
 def test_fold_models_share_the_cores(spark, noisy, monkeypatch):
     seen = []
 
