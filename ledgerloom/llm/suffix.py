@@ -47,6 +47,8 @@ from .registry import named, table
 #: Bytes of the hashed strings among which the anchor is chosen.
 K = 20
 ADDED = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
+#: Contexts that are sorted at a time: a sort holds some 2 KB for each.
+MOST = 1 << 15
 _LAST = np.iinfo(np.int64).max
 _SLICE = 1 << 18
 _U = np.uint64
@@ -224,8 +226,10 @@ def suffix_sort(buffer: np.ndarray, at: np.ndarray, limit: np.ndarray, group: np
     raise RuntimeError("hash collisions with every base")
 
 
-def covered_strings(buffer: np.ndarray, at: np.ndarray, before: np.ndarray, after: np.ndarray, group: np.ndarray, doc: np.ndarray, length: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Strings of ``length`` bytes around anchors that a smaller document has too.
+def covered_strings(
+    buffer: np.ndarray, at: np.ndarray, before: np.ndarray, after: np.ndarray, group: np.ndarray, doc: np.ndarray, length: int, offsets: range | None = None
+) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Strings of ``length`` bytes around anchors that a smaller document has too, of all ``offsets`` or some.
 
     Element e is an anchor at ``at[e]`` with ``before[e]`` and ``after[e]`` bytes around it; its
     strings start ``length - after[e]`` .. ``before[e]`` bytes before it.  For each offset: the offset
@@ -235,7 +239,9 @@ def covered_strings(buffer: np.ndarray, at: np.ndarray, before: np.ndarray, afte
     back, back_common = suffix_sort(buffer[::-1], len(buffer) - at, before, group)
     n, out = len(at), []
     forward_class, backward_class = np.empty(n, np.int64), np.empty(n, np.int64)
-    for a in range(int(before.max(initial=-1)) + 1):
+    for a in range(length) if offsets is None else offsets:
+        if a > before.max(initial=-1):
+            break
         have = np.nonzero((before >= a) & (after >= length - a))[0]
         if len(have) < 2:
             continue
@@ -369,62 +375,82 @@ def _records(shard: _Shard, masks: dict[int, np.ndarray], buckets: int, length:
     return out, settled
 
 
+def _portions(group: np.ndarray, matrix: np.ndarray, before: np.ndarray, after: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, range]]:
+    """Elements that are sorted at a time, their groups, and the offsets to look at.
+
+    A string leaves ``length - K`` bytes around its anchor, half of them at least on one side.  So a group of
+    more than ``MOST`` elements falls into those that have as many bytes before the anchor in common, for the
+    strings with so many there, and those that have as many bytes after it in common, for all others.
+    ``matrix`` has the contexts, one in a row.
+    """
+    size = np.bincount(group, minlength=1)
+    large, side = size[group] > MOST, (length - K) // 2
+    every = range(length - K + 1)
+    sets = [(np.nonzero((size[group] > 1) & ~large)[0], group, every)]
+    if large.any():
+        for enough, shift, offsets in ((before >= side, -side, every[side:]), (after >= K + side, K, every[:side])):
+            which = np.nonzero(large & enough)[0]
+            columns = (before[which] + shift)[:, None] + np.arange(side)
+            keys = np.concatenate([group[which].astype("<u4").view(np.uint8).reshape(-1, 4), matrix[which[:, None], columns]], 1)
+            finer = np.zeros(len(group), np.int64)
+            _, finer[which], times = np.unique(_whole(keys), return_inverse=True, return_counts=True)
+            sets.append((which[times[finer[which]] > 1], finer, offsets))
+    for which, number, offsets in sets:
+        which = which[np.argsort(number[which], kind="stable")]
+        ends = np.append(np.nonzero(np.diff(number[which]))[0] + 1, len(which))
+        lo = 0
+        while lo < len(which):  # whole groups, as many as fit
+            hi = int(ends[max(np.searchsorted(ends, lo, "right"), np.searchsorted(ends, lo + MOST, "right") - 1)])
+            yield which[lo:hi], number[which[lo:hi]], offsets
+            lo = hi
+
+
+def _whole(rows: np.ndarray) -> np.ndarray:
+    """The rows of a matrix of bytes as one value each."""
+    return np.ascontiguousarray(rows).view(np.dtype((np.void, rows.shape[1]))).reshape(-1)
+
+
 def _sorted_spans(blocks: list[bytes], length: int) -> list[np.ndarray]:
     """For each block the spans (text number, start, end) that smaller documents cover."""
-    records = []  # hash, document, anchor, context, block, texts, starts
-    for number, block in enumerate(blocks):
-        h, doc, anchor, size, times, texts, starts, raw = _unpack(block, "u8", "i8", "u1", "u1", "u4", "u4", "u4", "u1")
-        raw, ends = raw.tobytes(), np.cumsum(size, dtype=np.int64)
-        stops = np.cumsum(times, dtype=np.int64)
-        records += zip(
-            h.tolist(),
-            doc.tolist(),
-            anchor.tolist(),
-            [raw[e - s : e] for s, e in zip(size.tolist(), ends.tolist(), strict=True)],
-            [number] * len(h),
-            np.split(texts, stops[:-1]),
-            np.split(starts, stops[:-1]),
-            strict=True,
-        )
+    kinds = ("u8", "i8", "u1", "u1", "u4", "u4", "u4", "u1")
+    columns = [np.concatenate(x) for x in zip(*(_unpack(b, *kinds) for b in blocks), strict=True)]
+    h, doc, anchor, size, times, texts, starts, raw = columns
+    own = np.repeat(np.arange(len(blocks)), [len(_unpack(b, "u8")[0]) for b in blocks])
     # One element for each distinct context: the smallest document that has it.
-    element: dict[bytes, int] = {}
-    e_hash, e_doc, e_anchor = [], [], []
-    of = []
-    for h, doc, anchor, context, *_ in records:
-        e = element.setdefault(context, len(e_hash))
-        if e == len(e_hash):
-            e_hash.append(h)
-            e_doc.append(doc)
-            e_anchor.append(anchor)
-        elif doc < e_doc[e]:
-            e_doc[e] = doc
-        of.append(e)
-    hashes, doc = np.array(e_hash, np.uint64), np.array(e_doc, np.int64)
-    _, group, size = np.unique(hashes, return_inverse=True, return_counts=True)
-    several = np.nonzero(size[group] > 1)[0]
-    part: dict[int, list[int]] = {}
-    if len(several):
-        contexts = list(element)
-        chosen = [contexts[e] for e in several.tolist()]
-        sizes = np.array([len(c) for c in chosen], np.int64)
-        first = np.cumsum(sizes) - sizes
-        before = np.array([e_anchor[e] for e in several.tolist()], np.int64)
-        for a, hit in covered_strings(
-            np.frombuffer(b"".join(chosen), np.uint8), first + before, before, sizes - before, group[several], doc[several], length
-        ):
-            for e, b in zip(several[hit].tolist(), before[hit].tolist(), strict=True):
-                part.setdefault(e, []).append(b - a)
-    out: list[list[np.ndarray]] = [[] for _ in blocks]
-    for (_, d, _, context, block, texts, starts), e in zip(records, of, strict=True):
-        if d > e_doc[e]:
-            spans = [(0, len(context))]
-        elif e in part:
-            spans = [(s, s + length) for s in part[e]]
-        else:
-            continue
-        for s, t in spans:
-            out[block].append(np.stack([texts, starts + np.uint32(s), starts + np.uint32(t)], 1))
-    return [np.concatenate(x).astype(np.uint32) if x else np.empty((0, 3), np.uint32) for x in out]
+    wide = int(size.max(initial=0))
+    matrix = np.zeros((len(h), wide + 1), np.uint8)
+    matrix[:, :wide][np.arange(wide) < size[:, None]] = raw
+    matrix[:, wide] = size
+    _, first, of = np.unique(_whole(matrix), return_index=True, return_inverse=True)
+    matrix = matrix[first]
+    e_doc = np.full(len(first), _LAST)
+    np.minimum.at(e_doc, of, doc)
+    before, after = anchor[first].astype(np.int64), size[first].astype(np.int64) - anchor[first]
+    _, group = np.unique(h[first], return_inverse=True)
+    hits = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    for which, number, offsets in _portions(group, matrix, before, after, length):
+        sizes = before[which] + after[which]
+        buffer = matrix[which, :wide][np.arange(wide) < sizes[:, None]]
+        start = np.cumsum(sizes) - sizes
+        for a, hit in covered_strings(buffer, start + before[which], before[which], after[which], number, e_doc[which], length, offsets):
+            hits.append((which[hit], before[which[hit]] - a))
+    hit, at = (np.concatenate(x) for x in zip(*hits, strict=True))
+    order = np.argsort(hit, kind="stable")
+    hit, at = hit[order], at[order]
+    # Where a context stands: all of it goes if a smaller document has it, else its strings that were hit.
+    record = np.repeat(np.arange(len(h)), times)
+    whole = doc[record] > e_doc[of[record]]
+    lo, hi = (np.searchsorted(hit, of[record], x) for x in ("left", "right"))
+    number = np.where(whole, 0, hi - lo)
+    place = np.repeat(np.arange(len(record)), number)
+    string = at[np.arange(len(place)) - np.repeat(np.cumsum(number) - number, number) + lo[place]]
+    place = np.concatenate([np.nonzero(whole)[0], place])
+    begin = starts[place] + np.concatenate([np.zeros(int(whole.sum()), np.int64), string])
+    stop = begin + np.concatenate([size[record[whole]].astype(np.int64), np.full(len(string), length)])
+    spans = np.stack([texts[place], begin, stop], 1).astype(np.uint32)
+    block = own[record[place]]
+    order = np.argsort(block, kind="stable")
+    return np.split(spans[order], np.searchsorted(block[order], np.arange(1, len(blocks))))
 
 
 def _union(spans: np.ndarray) -> list[tuple[int, int]]:

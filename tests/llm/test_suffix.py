@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -143,3 +144,45 @@ def test_anchors_cover_every_string():
     for hi in ends:
         assert all((q in seen) == (q + 50 <= hi) for q in range(lo, hi))
         lo = hi
+
+
+def _hot_blocks(n, length=50):
+    """Contexts of one anchor in documents that have hardly more than it in common."""
+    rng = random.Random(5)
+    middle = bytes(rng.randrange(97, 123) for _ in range(suffix.K))
+    sides = lambda k: bytes(rng.randrange(97, 123) for _ in range(k))
+    kept = [sides(30) for _ in range(40)]
+    contexts = []
+    for i in range(n):
+        left, right = (kept[rng.randrange(40)][-rng.randrange(31) :] if i % 9 == 0 else sides(30) for _ in range(2))
+        contexts.append((sides(30) + left)[-30:] + middle + (right + sides(30))[:30])
+    blocks = []
+    for part in (contexts[::2], contexts[1::2]):
+        number = range(len(blocks), n, 2)
+        u4 = lambda x: np.array(x, np.uint32)
+        one = [np.full(len(part), 7, np.uint64), np.array(number, np.int64), np.full(len(part), 30, np.uint8), np.full(len(part), 80, np.uint8)]
+        blocks.append(suffix._pack(*one, u4([1] * len(part)), u4(range(len(part))), u4([0] * len(part)), np.frombuffer(b"".join(part), np.uint8)))
+    return contexts, blocks
+
+
+@pytest.mark.parametrize("most", [3, 50, 1 << 15])
+def test_a_hot_anchor_is_sorted_in_portions(monkeypatch, most):
+    monkeypatch.setattr(suffix, "MOST", most)
+    contexts, blocks = _hot_blocks(4000)
+    seen, expected = {}, [set(), set()]
+    for i, c in enumerate(contexts):
+        for a in range(31):
+            if seen.setdefault((a, c[a : a + 50]), i) < i:
+                expected[i % 2].add((i // 2, a, a + 50))
+    found = suffix._sorted_spans(blocks, 50)
+    assert [set(map(tuple, x.tolist())) for x in found] == expected and all(expected)
+
+
+def test_memory_of_a_hot_anchor_is_bounded(monkeypatch):
+    monkeypatch.setattr(suffix, "MOST", 1000, raising=False)
+    _, blocks = _hot_blocks(30_000)
+    tracemalloc.start()
+    suffix._sorted_spans(blocks, 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30_000 * 800
